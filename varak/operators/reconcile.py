@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,9 +103,6 @@ def restricted_audit(catalog: DataFrame, listing: DataFrame) -> DataFrame:
 
 def name_key(c):
     """The canonical notation of a file name; Spark has no built-in for it."""
-    import unicodedata
-
-    import pandas as pd
 
     def nfc(s: pd.Series) -> pd.Series:
         return s.map(lambda x: unicodedata.normalize("NFC", x.strip()), na_action="ignore")
