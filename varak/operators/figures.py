@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varak.functions import geo
@@ -32,21 +31,23 @@ def candidates(figures: DataFrame, boxes: DataFrame, keys: list[str], width: flo
 
 
 def matches(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Greedy one-to-one matches of each page: overlaps before distances, the best first, ties by ids."""
-    kinds = {c: t for c, t in pairs.dtypes}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "figure_id", "detected_id", "method", "score"])
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = pdf.assign(m=(pdf["method"] != "iou"), s=pdf["score"].where(pdf["method"] != "iou", -pdf["score"])).sort_values(["m", "s", "figure_id", "detected_id"])
-        left, right, kept = set(), set(), []
-        for i, a, b in zip(order.index, order["figure_id"], order["detected_id"]):
-            if a not in left and b not in right:
-                left.add(a)
-                right.add(b)
-                kept.append(i)
-        return pdf.loc[kept, [*keys, "figure_id", "detected_id", "method", "score"]]
-
-    return pairs.groupBy(*keys).applyInPandas(greedy, schema)
+    """Greedy one-to-one matches of each page: overlaps before distances, the best first, ties by ids.
+
+    A page's candidates, a few dozen at most, are folded as one sorted array, so no Python runs.
+    """
+    one = F.struct(
+        (F.col("method") != "iou").alias("late"), F.when(F.col("method") == "iou", -F.col("score")).otherwise(F.col("score")).alias("cost"),
+        "figure_id", "detected_id", "method", "score",
+    )
+    kind = "array<" + pairs.select(one.alias("x")).schema["x"].dataType.simpleString() + ">"
+    pages = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("ranked"))
+
+    def step(kept: Column, x: Column) -> Column:
+        taken = F.exists(kept, lambda k: (k["figure_id"] == x["figure_id"]) | (k["detected_id"] == x["detected_id"]))
+        return F.when(taken, kept).otherwise(F.concat(kept, F.array(x)))
+
+    kept = F.aggregate("ranked", F.array().cast(kind), step)
+    return pages.select(*keys, F.explode(kept).alias("k")).select(*keys, "k.figure_id", "k.detected_id", "k.method", "k.score")
 
 
 def replaced(texts: DataFrame, pairs: DataFrame, key: str = "md5", column: str = "content") -> DataFrame:
