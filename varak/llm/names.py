@@ -242,13 +242,24 @@ def entities(authors: DataFrame, publishers: DataFrame, catalog: DataFrame) -> D
     rows = forms.where("family <> ''").join(canon, ["kind", "family"])
     profiles = rows.groupBy("kind", "house", *parts).agg(F.sum("n").alias("n"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        clean = pdf.astype(object).where(pdf.notna(), None)
-        pdf["entity"] = resolve(clean[[*parts, "n"]].to_dict("records"))
-        return pdf
+    columns = ["kind", "house", *parts, "n"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Houses come one after the other; one that goes on in the next batch waits for it."""
+        waiting: list[tuple] = []
+        for pdf in batches:
+            clean = pdf[columns].astype(object).where(pdf[columns].notna(), None)
+            done: list[tuple] = []
+            for row in clean.itertuples(index=False, name=None):
+                if waiting and waiting[-1][:2] != row[:2]:
+                    done += _numbered(waiting, columns)
+                    waiting = []
+                waiting.append(row)
+            yield pd.DataFrame(done, columns=[*columns, "entity"])
+        yield pd.DataFrame(_numbered(waiting, columns), columns=[*columns, "entity"])
 
     schema = "kind string, house string, given string, cut string, first string, patronymic string, second string, n bigint, entity int"
-    resolved = profiles.groupBy("kind", "house").applyInPandas(run, schema).drop("n")
+    resolved = profiles.select(*columns).repartition("kind", "house").sortWithinPartitions("kind", "house").mapInPandas(run, schema).drop("n")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("kind", "house", *parts)]
     out = rows.alias("a").join(resolved.alias("b"), same).select("a.kind", "a.name_id", "a.name_form", F.concat_ws("#", "a.house", F.col("b.entity").cast("string")).alias("entity"))
     # abbreviations that keep the beginnings of both halves of a name
@@ -260,6 +271,11 @@ def entities(authors: DataFrame, publishers: DataFrame, catalog: DataFrame) -> D
     return out.unionByName(linked).unionByName(lone)
 
 
+def _numbered(rows: list[tuple], columns: list[str]) -> list[tuple]:
+    """Rows of one house with the number of their entity."""
+    return [(*r, e) for r, e in zip(rows, resolve([dict(zip(columns, r)) for r in rows]))]
+
+
 def _tail_fit() -> F.Column:
     """Abbreviations of the same word lengths fit best: the tail then begins the second half of the name."""
     return -F.expr("abs(length(family) - instr(substring(family, 4), substring(cut, 4)) - 3 - length(cut) + 1)")
