@@ -121,7 +121,7 @@ def _numbers(text: str) -> Iterator[tuple[float, str, int, int]]:
                     at = x.end()
                     break
             else:
-                if (nxt := re.compile(r"[^\d+(]+[\d+(]").search(text, at + 1, end)) is None:
+                if (nxt := re.compile(r"[^\d+(]+[\d+(]").search(text, at, end)) is None:
                     break
                 at = nxt.end() - 1
 
