@@ -44,3 +44,19 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     ingest(spark, path, source.schema, out, state)
     assert first and spark.read.parquet(out).count() == first
     assert spark.read.parquet(out).select("md5").distinct().count() == first
+
+
+def test_ingest_keeps_late_entries(spark, tmp_path):
+    source = table(spark, SF, "listing")
+    path, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
+
+    def add(days):  # one file each, so that there are several batches
+        for md5, day in days:
+            source.limit(1).selectExpr(*[{"entry_type": "'file' AS entry_type", "md5": f"'{md5}' AS md5", "listed_at": f"timestamp_ntz'{day}' AS listed_at"}.get(c, c) for c in source.columns]).coalesce(1).write.mode("append").parquet(path)
+
+    add([(f"m{k}", f"20{23 - k // 6}-{12 - k % 6 * 2:02}-01 00:00:00") for k in range(10)])
+    ingest(spark, path, source.schema, out, state)
+    assert spark.read.parquet(out).count() == 10
+    add([("m3", "2023-12-02 00:00:00"), ("late", "2019-01-01 00:00:00")])
+    ingest(spark, path, source.schema, out, state)
+    assert sorted(r.md5 for r in spark.read.parquet(out).collect()) == sorted([f"m{k}" for k in range(10)] + ["late"])

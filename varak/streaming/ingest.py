@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def new_entries(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 8) -> DataFrame:
-    """A stream of listing files, each content hash once within the watermark."""
+    """A stream of listing files: every entry of a file with a content hash, however late it was listed."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    timed = stream.withColumn("seen_at", F.col("listed_at").cast("timestamp")).withWatermark("seen_at", "30 days")
-    return timed.where("entry_type = 'file' and md5 is not null").dropDuplicatesWithinWatermark(["md5"])
+    return stream.withColumn("seen_at", F.col("listed_at").cast("timestamp")).where("entry_type = 'file' and md5 is not null")
+
+
+def append_unknown(batch: DataFrame, out: str) -> None:
+    """Appends the entries whose hash the table at ``out`` lacks, each hash once; a repeated batch adds nothing."""
+    fresh = batch.dropDuplicates(["md5"])
+    try:
+        known = batch.sparkSession.read.schema(batch.schema).parquet(out).select("md5")
+    except AnalysisException as e:  # the first batch
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        fresh = fresh.join(known, "md5", "left_anti").select(*batch.columns)
+    fresh.write.mode("append").parquet(out)
 
 
 def ingest(spark: SparkSession, path: str, schema: StructType, out: str, state: str) -> None:
-    """Takes in all files there now and ends; run again, it takes in only what is new."""
-    query = new_entries(spark, path, schema).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+    """Takes in all files there now and ends; run again, it takes in only what is new.
+
+    ``out`` is a plain table. One that an earlier version wrote as a streaming sink must be started anew with ``state``.
+    """
+    query = new_entries(spark, path, schema).writeStream.foreachBatch(lambda batch, _: append_unknown(batch, out)).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
