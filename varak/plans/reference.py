@@ -422,25 +422,33 @@ SELECT md5, CASE WHEN lower(j->>'$.publisher.name') <> 'unknown' THEN j->>'$.pub
   CAST(CASE WHEN abs(TRY_CAST(j->>'$.numberOfPages' AS INT) - old_pages) < 5 THEN TRY_CAST(j->>'$.numberOfPages' AS INT) ELSE old_pages END AS BIGINT) AS page_count FROM shaped"""
 
 
+def _flat(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("b", meta.book(F.col("meta"))).where("b is not null")
+    b, pages = F.col("b"), meta.page_count(F.col("b"), F.col("page_count")).cast("bigint")
+    return rows.select("md5", meta.publisher(b).alias("publisher"), meta.author(b).alias("author"), meta.title(b).alias("title"), meta.language(b).alias("language"), meta.publish_date(b, F.col("publish_date")).alias("publish_date"), pages.alias("page_count"))
+
+
+@query()
+def meta_records(s, d):
+    """Every readable record, flattened, whatever its shape; a field that it lacks is null."""
+    return _flat(_cat(s, d))
+
+
 @query(_META_SQL)
 def meta_flattened(s, d):
-    """Records of the regular shape, flattened: a publisher object and authors that are objects."""
+    """The part of ``meta_records`` that SQL can follow: a publisher object and authors that are objects."""
     plain = _cat(s, d).where(F.col("meta").startswith('{"@context"') & ~F.col("meta").contains('"@graph"'))
     raw = plain.withColumn("v", F.try_parse_json("meta")).where("v is not null")
     kind = lambda p: F.schema_of_variant(F.try_variant_get("v", p, "variant"))
     shaped = raw.where(kind("$.publisher").startswith("OBJECT") & kind("$.author").startswith("ARRAY"))
     shaped = shaped.where(~F.exists(F.try_variant_get("v", "$.author", "array<variant>"), lambda a: F.coalesce(F.schema_of_variant(a) == "STRING", F.lit(False))))
-    book = F.from_json("meta", meta.BOOK.replace("genre: ARRAY<STRING>", "description: STRING"))
-    rows = shaped.withColumn("b", book)
-    b, pages = F.col("b"), meta.page_count(F.col("b"), F.col("page_count")).cast("bigint")
-    return rows.select("md5", meta.publisher(b).alias("publisher"), meta.author(b).alias("author"), meta.title(b).alias("title"), meta.language(b).alias("language"), meta.publish_date(b, F.col("publish_date")).alias("publish_date"), pages.alias("page_count"))
+    return _flat(shaped)
 
 
 @query()
 def meta_columns(s, d):
     """The remaining columns of a record: genre, translation, ISBNs, classification, and whether it can be read."""
-    b = F.from_json("meta", meta.BOOK)
-    rows = _cat(s, d).where("meta is not null").withColumn("b", b)
+    rows = _cat(s, d).where("meta is not null").withColumn("b", meta.book(F.col("meta")))
     b = F.col("b")
     return rows.select("md5", meta.genre(b).alias("genre"), meta.translated(b).alias("translated"), meta.isbn(b).alias("isbn"), meta.classification(b, ("UDC", "УДК")).alias("udc"), F.to_json(b).alias("meta"), b.isNull().alias("unreadable"))
 
