@@ -42,3 +42,9 @@ def test_edges(spark):
     assert subjects.found(empty, labels, catalog, codes, items).count() == 0
     odd = spark.createDataFrame([(1, None, None), (2, "", None), (3, "...", "x"), (3, "...", "x")], "doc_id bigint, text string, md5 string")
     assert subjects.found(odd, labels.limit(0), catalog.limit(0), codes, items.limit(0)).count() == 0
+
+
+def test_a_fifth_of_all_sentences_is_enough(spark):
+    rows = [("fifth", 0.2, 1, 5), ("quarter", 0.25, 1, 4), ("passing", 0.2, 1, 6), ("many", 0.21, 3, 15), ("silent", 0.5, 1, 9)]
+    df = spark.createDataFrame(rows, "subject_code string, share double, held int, sentences int")
+    assert {r.subject_code for r in df.where(subjects.enough()).collect()} == {"fifth", "quarter", "many", "silent"}

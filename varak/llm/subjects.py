@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varak.llm import leaks
@@ -30,6 +30,8 @@ SHARPEN = 2  # passes that carry leaf labels over to the terms of sentences
 #: Least share among the sentences that speak for a subject. About a fifth of all sentences speak for none, so this is
 #: a fifth of all; a subject met in one sentence needs ``SINGLE``.
 SHARE, SINGLE = 0.24, 0.3
+#: A subject that is told by one of so many of all sentences always counts; the shares above only read the silent ones.
+ONE_OF = 5
 PURE = 0.7  # share of its told sentences from which a document teaches the terms of one subject
 COMMON = 256  # most frequent terms, by which leaves of one language are known
 #: Bound of the labelled documents that teach terms directly, in the order of a hash, and how much one counts.
@@ -461,5 +463,10 @@ def assign(documents: DataFrame, labels: DataFrame, catalog: DataFrame, subjects
     return mixtures(rows, fit(rows, labels, catalog, codes))
 
 
+def enough() -> Column:
+    """Whether a subject is more than met in passing: a fifth of all sentences, or the shares among the telling ones."""
+    return (F.col("held") * ONE_OF >= F.col("sentences")) | (F.col("share") >= SHARE) & ((F.col("held") > 1) | (F.col("share") >= SINGLE))
+
+
 def found(documents: DataFrame, labels: DataFrame, catalog: DataFrame, subjects: DataFrame, items: DataFrame) -> DataFrame:
-    return assign(documents, labels, catalog, subjects, items).where((F.col("share") >= SHARE) & ((F.col("held") > 1) | (F.col("share") >= SINGLE))).select("doc_id", "subject_code")
+    return assign(documents, labels, catalog, subjects, items).where(enough()).select("doc_id", "subject_code")
