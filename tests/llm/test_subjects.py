@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from varak.llm import subjects
 
@@ -48,3 +49,16 @@ def test_a_fifth_of_all_sentences_is_enough(spark):
     rows = [("fifth", 0.2, 1, 5), ("quarter", 0.25, 1, 4), ("passing", 0.2, 1, 6), ("many", 0.21, 3, 15), ("silent", 0.5, 1, 9)]
     df = spark.createDataFrame(rows, "subject_code string, share double, held int, sentences int")
     assert {r.subject_code for r in df.where(subjects.enough()).collect()} == {"fifth", "quarter", "many", "silent"}
+
+
+def test_groups_outside_a_sample_get_leaves(spark):
+    rng = np.random.default_rng(3)
+    ids = [r.id for r in spark.range(9000).orderBy(F.xxhash64("id"), "id").collect()]
+    kind = {d: 2 if k >= 8700 else k % 2 for k, d in enumerate(ids)}  # the third kind comes last in the order of the hash
+    units = spark.createDataFrame([(d, [int(t) for t in 1000 * kind[d] + rng.choice(30, 8, replace=False)]) for d in ids], "doc_id bigint, terms array<int>")
+    tree = subjects.grow(units, np.ones(subjects.DIMS), leaves=12)
+    rows = units.toPandas()
+    for _ in tree.path(*subjects._unit(np.concatenate(list(rows.terms)), np.full(9000, 8), np.ones(subjects.DIMS)), 9000):
+        pass
+    leaves = [{n for d, n in zip(rows.doc_id, tree.last) if kind[d] == k} for k in range(3)]
+    assert leaves[2] and not leaves[2] & (leaves[0] | leaves[1])

@@ -1,7 +1,7 @@
 """Subjects of documents: bisecting k-means over document vectors, labelled leaves, leaf mixtures.
 
-Documents become normalised vectors of hashed word beginnings. A tree of bisections is seeded on a bounded sample and
-then refitted on all documents, which go down the tree in every pass. A leaf is labelled by the subjects that hand-set
+Documents become normalised vectors of hashed word beginnings. A tree of bisections is grown and
+refitted over all documents, which go down the tree in every pass. A leaf is labelled by the subjects that hand-set
 labels and readable genres give to its documents; its discriminative terms carry the label over to sentences. Each
 sentence takes the subject of the leaves that its terms speak for, and a document has the subjects that hold at least
 ``SHARE`` of its sentences, so one document can mix several leaves.
@@ -23,8 +23,8 @@ from varak.sources.tables import written
 
 DIMS = 1 << 14
 LEAVES = 160
-#: Bound of the sample that seeds the tree: documents in the order of a hash.
-SEED_DOCS = 8_000
+#: Documents of a leaf that give the starting centres of its bisection, and passes over all documents that follow.
+START_DOCS, REFINE = 64, 2
 PASSES = 3
 SHARPEN = 2  # passes that carry leaf labels over to the terms of sentences
 #: Least share among the sentences that speak for a subject. About a fifth of all sentences speak for none, so this is
@@ -34,7 +34,8 @@ SHARE, SINGLE = 0.24, 0.3
 ONE_OF = 5
 PURE = 0.7  # share of its told sentences from which a document teaches the terms of one subject
 COMMON = 256  # most frequent terms, by which leaves of one language are known
-#: Bound of the labelled documents that teach terms directly, in the order of a hash, and how much one counts.
+#: Bound of the labelled documents that teach terms directly, in the order of a hash, and how much one counts; those
+#: beyond the bound are stood for by the ones taken.
 LABELLED_DOCS = 20_000
 LABELLED_WEIGHT = 1.0
 LABEL_WEIGHT = 4.0  # a label set by hand counts as so many genres
@@ -218,6 +219,95 @@ def seed(row: np.ndarray, term: np.ndarray, w: np.ndarray, n: int, leaves: int =
     return Tree(left, np.stack(centers))
 
 
+def _unit(terms: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_sparse`` for documents that hold each term once."""
+    row, w = np.repeat(np.arange(len(n)), n), idf[terms]
+    norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(n)))
+    return row, terms, w / np.maximum(norm[row], 1e-9)
+
+
+def grow(units: DataFrame, idf: np.ndarray, leaves: int = LEAVES) -> Tree:
+    """Bisects leaves by their spread over all documents, those within half of the widest in one round.
+
+    ``units`` holds ``doc_id, terms``, each term once. About ``START_DOCS`` documents of a leaf give the two centres
+    from which ``REFINE`` passes over all documents start.
+    """
+    sc = units.sparkSession.sparkContext
+
+    def sums(tree: Tree, wanted: np.ndarray) -> np.ndarray:
+        shared = sc.broadcast((tree, idf, wanted))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t, weights, want = shared.value
+            total = np.zeros((len(t.left), DIMS + 1))
+            for b in batches:
+                terms, n = _lists(b, "terms")
+                row, term, w = _unit(terms, n, weights)
+                for _ in t.path(row, term, w, len(n)):
+                    pass
+                ok = want[t.last[row]]
+                np.add.at(total, (t.last[row[ok]], term[ok]), w[ok])
+                total[:, DIMS] += np.bincount(t.last[want[t.last] & (n > 0)], minlength=len(t.left))
+            yield _emit(("node", "term"), total)
+
+        out = _tables(_sums(units, run, "node int, term int, x double", ["node", "term"]), len(tree.left), "node", width=DIMS + 1)
+        shared.destroy()  # else every pass leaves its centres on disk
+        return out
+
+    def starts(tree: Tree, rate: np.ndarray) -> pd.DataFrame:
+        shared = sc.broadcast((tree, idf, rate))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t, weights, of = shared.value
+            for b in batches:
+                terms, n = _lists(b, "terms")
+                for _ in t.path(*_unit(terms, n, weights), len(n)):
+                    pass
+                ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+                draw = ((ids ^ (ids >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)) / 2.0**53
+                take = pa.array(np.flatnonzero((draw < of[t.last]) & (n > 0)))
+                yield pa.RecordBatch.from_arrays([pa.array(t.last.astype(np.int32)).take(take), b.column(0).take(take), b.column(1).take(take)], names=["leaf", "doc_id", "terms"])
+
+        out = units.mapInArrow(run, "leaf int, doc_id bigint, terms array<int>").toPandas().sort_values(["leaf", "doc_id"])
+        shared.destroy()
+        return out
+
+    left, centers, spread, count, closed = [-1], [np.zeros(DIMS, np.float32)], {}, {}, set()
+    new = [0]
+    while new:
+        for _ in range(REFINE if len(left) > 1 else 1):
+            tree = Tree(left, np.stack(centers))
+            total = sums(tree, np.isin(np.arange(len(left)), new))
+            for k in new:
+                norm = float(np.linalg.norm(total[k, :DIMS]))
+                count[k], spread[k] = total[k, DIMS], total[k, DIMS] - norm
+                if norm > 0:
+                    centers[k] = (total[k, :DIMS] / norm).astype(np.float32)
+        tree = Tree(left, np.stack(centers))
+        ends = [k for k in range(len(left)) if left[k] < 0]
+        todo = sorted((k for k in ends if count[k] >= 5 and k not in closed), key=lambda k: (-spread[k], k))
+        todo = [k for k in todo if 2 * spread[k] >= spread[todo[0]] and spread[k] > 1e-6][: leaves - len(ends)]
+        new, left = [], list(left)
+        if todo:
+            rate = np.zeros(len(left))
+            rate[todo] = [START_DOCS / count[k] for k in todo]
+            sample = starts(tree, rate)
+        for k in todo:
+            docs = sample.loc[sample["leaf"] == k, "terms"]
+            n = np.array([len(t) for t in docs], dtype=np.int64)
+            two = seed(*_unit(np.concatenate(list(docs)).astype(np.int64), n, idf), len(n), leaves=2) if len(n) else None
+            if two is None or len(two.left) < 3:
+                closed.add(k)
+                continue
+            left[k] = len(left)
+            new += [len(left), len(left) + 1]
+            centers += [two.centers[1], two.centers[2]]
+            left += [-1, -1]
+        if todo and not new:
+            new = [todo[0]]  # nothing could be split: measure again and go on with the others
+    return tree
+
+
 def _sums(rows: DataFrame, fn, schema: str, keys: list[str]) -> pd.DataFrame:
     """Runs ``fn`` over Arrow batches and adds up column ``x`` by ``keys``; the keys are bounded by nodes and terms."""
     return rows.mapInArrow(fn, schema).groupBy(*keys).agg(F.sum("x").alias("x")).toPandas()
@@ -269,10 +359,8 @@ def fit(rows: DataFrame, labels: DataFrame, catalog: DataFrame, codes: list[str]
 
     df = _tables(_sums(rows, frequency, "node int, term int, x double", ["node", "term"]), 1, "node", width=DIMS + 1)[0]
     idf = np.log((df[DIMS] + 1) / (df[:DIMS] + 1)).astype(np.float64) * (df[:DIMS] > 1)
-    sample = rows.select("doc_id", "terms").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SEED_DOCS).toPandas()
-    lengths = np.array([len(t) for t in sample["terms"]], dtype=np.int64)
-    flat = np.concatenate([np.asarray(t, dtype=np.int64) for t in sample["terms"]]) if lengths.sum() else np.empty(0, np.int64)
-    tree = seed(*_sparse(flat, lengths, idf), len(lengths))
+    units = written(rows.select("doc_id", F.array_distinct("terms").alias("terms")), "subject-units")
+    tree = grow(units, idf)
 
     for step in range(PASSES):
         shared = spark.sparkContext.broadcast((tree, idf))  # LEAVES * 2 nodes of DIMS numbers
@@ -282,13 +370,14 @@ def fit(rows: DataFrame, labels: DataFrame, catalog: DataFrame, codes: list[str]
             total = np.zeros((len(t.left), DIMS), dtype=np.float32)
             for b in batches:
                 terms, n = _lists(b, "terms")
-                row, term, w = _sparse(terms, n, weights)
+                row, term, w = _unit(terms, n, weights)
                 for node in t.path(row, term, w, len(n)):
                     ok = node[row] >= 0
                     np.add.at(total, (node[row[ok]], term[ok]), w[ok].astype(np.float32))
             yield _emit(("node", "term"), total)
 
-        centers = _tables(_sums(rows, down, "node int, term int, x double", ["node", "term"]), len(tree.left), "node")
+        centers = _tables(_sums(units, down, "node int, term int, x double", ["node", "term"]), len(tree.left), "node")
+        shared.destroy()
         norm = np.linalg.norm(centers, axis=1, keepdims=True)
         tree = Tree(tree.left, np.where(norm > 0, centers / np.maximum(norm, 1e-9), tree.centers).astype(np.float32))
     shared = spark.sparkContext.broadcast((tree, idf))
@@ -308,6 +397,7 @@ def fit(rows: DataFrame, labels: DataFrame, catalog: DataFrame, codes: list[str]
     by_hand = leaf_of.join(labels.select("doc_id", "subject_code"), "doc_id").select("leaf", "subject_code", F.lit(LABEL_WEIGHT).alias("x"))
     genre_docs = leaf_of.where("md5 is not null").join(catalog.select("md5", genre.alias("subject_code")), "md5").select("doc_id", "subject_code")
     taught = genre_docs.unionByName(labels.select("doc_id", "subject_code")).where(F.col("subject_code").isin(codes))
+    n_taught = taught.count()
     taught = taught.orderBy(F.xxhash64("doc_id"), "doc_id", "subject_code").limit(LABELLED_DOCS).toPandas().sort_values("doc_id")
     told = spark.sparkContext.broadcast((taught["doc_id"].to_numpy(dtype=np.int64), np.array([codes.index(c) for c in taught["subject_code"]], dtype=np.int64)))
     votes = by_genre.unionByName(by_hand).groupBy("leaf", "subject_code").agg(F.sum("x").alias("x")).toPandas()
@@ -351,7 +441,7 @@ def fit(rows: DataFrame, labels: DataFrame, catalog: DataFrame, codes: list[str]
     for k in ends:
         tables[group[k]] += share[k][:, None] * counts[k][None, :]
     at = both["node"].to_numpy(dtype=np.int64) - len(tree.left)
-    np.add.at(tables, (group[at // len(codes)], at % len(codes), both["term"].to_numpy(dtype=np.int64)), LABELLED_WEIGHT * both["x"].to_numpy(dtype=float))
+    np.add.at(tables, (group[at // len(codes)], at % len(codes), both["term"].to_numpy(dtype=np.int64)), LABELLED_WEIGHT * max(1.0, n_taught / LABELLED_DOCS) * both["x"].to_numpy(dtype=float))
     model = Model(codes, _odds(tables), leaves)
     for _ in range(SHARPEN):
         now = spark.sparkContext.broadcast((model, group, n_groups))
