@@ -18,22 +18,27 @@ def shared_dir(spark: SparkSession) -> str:
     return given or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_varak_shared"
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Sets the checkpoint folder once; a folder that is already set stays."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_ready(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back; unlike a checkpoint it stays columnar."""
+    """Writes ``df`` to the shared folder and reads it back; it stays columnar, and no task depends on lost executors.
+
+    The files go when the driver ends, or before with ``discard``.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    where, fs = _file_system(spark, path)
+    fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what ``written`` made, once nothing reads it any more."""
+    where, fs = _file_system(df.sparkSession, df._written_to)
+    fs.delete(where, True)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
