@@ -1,5 +1,5 @@
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
 from varak.llm import subjects
 
@@ -10,23 +10,35 @@ def tables(spark):
     return [spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "subject_labels", "doc_catalog", "subjects", "eval_items")]
 
 
-def test_hand_labels_are_met(spark):
-    got = subjects.found(*tables(spark)).toPandas()
-    labels = tables(spark)[1].toPandas()
-    pairs = set(map(tuple, got[["doc_id", "subject_code"]].itertuples(index=False)))
-    hit = np.mean([(r.doc_id, r.subject_code) in pairs for r in labels.itertuples()])
-    assert hit > 0.7 and not got.duplicated().any()
+@pytest.fixture(scope="module")
+def placed(spark):
+    documents, labels, catalog, codes, items = tables(spark)
+    names = sorted(r.subject_code for r in codes.collect())
+    kept = {}
+    own = subjects.pooled
+    subjects.pooled = lambda rows, share, group, c: kept.update(rows=rows, share=share, group=group, codes=c) or own(rows, share, group, c)
+    try:
+        kept["placed"], kept["model"] = subjects.fit(subjects.written(subjects.vectors(documents, items), "test"), labels, catalog, names)
+    finally:
+        subjects.pooled = own
+    return kept
+
+
+def met(spark, placed, model):
+    rows = subjects.mixtures(placed["placed"], model).where(subjects.enough()).toPandas()
+    pairs = set(map(tuple, rows[["doc_id", "subject_code"]].itertuples(index=False)))
+    return np.mean([(r.doc_id, r.subject_code) in pairs for r in tables(spark)[1].toPandas().itertuples()]), rows
+
 
+def test_hand_labels_are_met(spark, placed):
+    share, rows = met(spark, placed, placed["model"])
+    assert share > 0.8 and not rows.duplicated(["doc_id", "subject_code"]).any()
 
-def test_bisection_separates():
-    rng = np.random.default_rng(0)
-    kind = np.arange(120) % 3
-    rows = [(d, 1000 * kind[d] + rng.choice(40, 12, replace=False)) for d in range(120)]
-    row, term = np.concatenate([[d] * 12 for d, _ in rows]), np.concatenate([np.sort(t) for _, t in rows])
-    tree = subjects.seed(row, term, np.full(len(row), 1 / np.sqrt(12)), 120, leaves=3)
-    for _ in tree.path(row, term, np.full(len(row), 1.0), 120):
-        pass
-    assert len({(k, n) for k, n in zip(kind, tree.last)}) == 3
+
+def test_subjects_come_from_the_leaves(spark, placed):
+    order = np.random.default_rng(1).permutation(len(placed["share"]))
+    shuffled = subjects.pooled(placed["placed"], placed["share"][order], placed["group"], placed["codes"])
+    assert met(spark, placed, shuffled)[0] < 0.5
 
 
 def test_copied_sentences():
@@ -37,11 +49,20 @@ def test_copied_sentences():
     assert subjects.copied(own + item + own, ids, known) == [False, True, True, False]
 
 
+def test_items_beyond_a_block_are_copies_too(spark, monkeypatch):
+    texts = [" ".join(f"{chr(1072 + k)}{chr(1072 + i)}төшенчә" for i in range(12)) + "." for k in range(6)]
+    documents = spark.createDataFrame([(k, "m", f"Бу үз җөмләбез икән монда. {t}") for k, t in enumerate(texts)], "doc_id bigint, md5 string, text string")
+    items = spark.createDataFrame([(t,) for t in texts], "item_text string")
+    for size in (20_000, 2):
+        monkeypatch.setattr(subjects.leaks, "BLOCK_ITEMS", size)
+        assert [len(r.lengths) for r in subjects.vectors(documents, items).collect()] == [1] * 6
+
+
 def test_edges(spark):
     documents, labels, catalog, codes, items = tables(spark)
     empty = documents.limit(0)
     assert subjects.found(empty, labels, catalog, codes, items).count() == 0
-    odd = spark.createDataFrame([(1, None, None), (2, "", None), (3, "...", "x"), (3, "...", "x")], "doc_id bigint, text string, md5 string")
+    odd = spark.createDataFrame([(1, None, None), (2, "", None), (3, "...", "x"), (3, "...", "x"), (None, "Бу бер җөмлә генә инде.", None)], "doc_id bigint, text string, md5 string")
     assert subjects.found(odd, labels.limit(0), catalog.limit(0), codes, items.limit(0)).count() == 0
 
 
@@ -51,14 +72,19 @@ def test_a_fifth_of_all_sentences_is_enough(spark):
     assert {r.subject_code for r in df.where(subjects.enough()).collect()} == {"fifth", "quarter", "many", "silent"}
 
 
-def test_groups_outside_a_sample_get_leaves(spark):
+def test_groups_outside_a_start_get_leaves(spark, monkeypatch):
+    monkeypatch.setattr(subjects, "FANOUT", 4)
     rng = np.random.default_rng(3)
-    ids = [r.id for r in spark.range(9000).orderBy(F.xxhash64("id"), "id").collect()]
-    kind = {d: 2 if k >= 8700 else k % 2 for k, d in enumerate(ids)}  # the third kind comes last in the order of the hash
-    units = spark.createDataFrame([(d, [int(t) for t in 1000 * kind[d] + rng.choice(30, 8, replace=False)]) for d in ids], "doc_id bigint, terms array<int>")
-    tree = subjects.grow(units, np.ones(subjects.DIMS), leaves=12)
-    rows = units.toPandas()
-    for _ in tree.path(*subjects._unit(np.concatenate(list(rows.terms)), np.full(9000, 8), np.ones(subjects.DIMS)), 9000):
-        pass
-    leaves = [{n for d, n in zip(rows.doc_id, tree.last) if kind[d] == k} for k in range(3)]
-    assert leaves[2] and not leaves[2] & (leaves[0] | leaves[1])
+    kind = np.where(np.arange(9000) >= 8910, 2, np.arange(9000) % 2)  # one or none of these is in the first start
+    units = np.sort(np.stack([1000 * k + rng.choice(30, 8, replace=False) for k in kind]), axis=1)
+    x = subjects.dense(units.ravel(), np.full(9000, 8), np.ones(subjects.DIMS))
+    points = spark.createDataFrame([(k, r) for k, r in enumerate(subjects._packed(x).to_pylist())], "doc_id bigint, point binary")
+    leaf = subjects.grow(points, leaves=24).leaves(x)
+    ends = [set(leaf[kind == k]) for k in range(3)]
+    assert ends[2] and not ends[2] & (ends[0] | ends[1])
+
+
+def test_bytes_hold_a_vector():
+    x = subjects.dense(np.arange(40), np.array([25, 0, 15]), np.ones(subjects.DIMS))
+    back = subjects._unpacked(subjects._packed(x).slice(1, 2))
+    assert not back[0].any() and back[1] @ x[2] > 0.99
