@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from varak.operators import nested
 
 
@@ -39,3 +41,26 @@ def test_shared_subtrees(spark):
 
 def test_long_list(spark):
     assert len(cases(spark, json.dumps({"author": [f"n{i}" for i in range(5000)]}))) == 5000
+
+
+def test_lists_inside_lists(spark):
+    meta = json.dumps({"author": [[{"name": "a"}, {"name": "b"}], [], "c"], "isBasedOn": [[{"name": "w", "author": [["v"]]}]]})
+    assert cases(spark, meta) == [("r0", "author", 0, 1), ("r0", "author", 0, 2), ("r0", "author", 0, 4), ("r0", "work", 0, 1), ("r0", "work_author", 1, 1)]
+    links = {(r.child, r.path) for r in nested.bridge(rows(spark, meta)).where("child is not null").collect()}
+    assert links == {("author", "1/1"), ("author", "1/2"), ("author", "3"), ("work", "1/1"), ("work_author", "1/1")}
+
+
+def test_any_depth(spark):
+    work = '{"name":"w","isBasedOn":' * 60_000 + "{}" + "}" * 60_000
+    got = cases(spark, '{"author":"A","isBasedOn":' + work + "}")
+    assert len(got) == 60_002 and got[0] == ("r0", "author", 0, 1)
+    assert ("r0", "work", 60_000, 60_001) in got
+    assert cases(spark, '{"author":"A","x":' + "[" * 60_000 + "]" * 60_000 + "}") == [("r0", "author", 0, 1)]
+
+
+def test_deep_reader_reads_what_json_reads():
+    for text in ('{"a": [1, -2.5e3, true, null, "\\u0442\\n"], "b": {}, "c": [[], {"d": false}]}', " 3 ", '"x"', "[]"):
+        assert nested.read_deep(text) == json.loads(text)
+    for text in ("", "{", "[1,]", '{"a" 1}', "[1] 2", '{"a":1,}', "tru"):
+        with pytest.raises(ValueError):
+            nested.read_deep(text)
