@@ -53,3 +53,10 @@ def test_blocks_drop_nothing(spark, monkeypatch):
     docs = spark.createDataFrame([(k, " ".join(WORDS[k * 40 : k * 40 + 40]), 0) for k in range(9)], DOC)
     monkeypatch.setattr(leaks, "BLOCK_ITEMS", 3)
     assert sorted(map(tuple, leaks.found(docs, items).collect())) == [(k, k) for k in range(9)]
+
+
+def test_a_stretch_on_a_thinner_diagonal():
+    item = list(range(40))
+    decoy = [*item[:19], *range(900, 960)]
+    thin = [*item[:7], 801, *item[7:14], 802, *item[14:21]]
+    assert leaks._stretch(item, decoy * 3 + thin, 20) and not leaks._stretch(item, decoy * 3, 20)

@@ -39,3 +39,11 @@ def test_near(a, b, want):
 def test_notations():
     assert names.sound("Көмешкүпер") == names.sound("Kömeşküper") and names.sound("Җәмил") == names.sound("Жамил") == names.sound("Zhamil") == names.sound("Cämil")
     assert names.nickname("rinatik", "rinat") and names.nickname(names.sound("Володя"), names.sound("Владимир")) and not names.nickname("saniä", "salavat")
+
+
+def test_short_names_and_heads(spark):
+    schema = "name_id bigint, name_form string"
+    authors = spark.createDataFrame([(1, "Воев Марат"), (2, "Ввев Марат"), (3, "Боев Марат")], schema)
+    houses = spark.createDataFrame([(11, "«Илкөмеш» нәшрияты"), (12, "ИК (Илмешнәшр)")], schema)
+    catalog = spark.createDataFrame([("Воев Марат", None)] * 300 + [("Боев Марат", None)] * 200, "author string, publisher string")
+    assert {tuple(r) for r in names.found(authors, houses, catalog).collect()} == {(1, 2), (11, 12)}

@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from oracle import compare, database
 
 from varak.llm import packing
 
@@ -41,3 +42,16 @@ def test_fill(spark):
     got = packing.containers(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     n = got.container_id.nunique()
     assert n <= -(-got.tokens.sum() // packing.CAPACITY) + 2
+
+
+def test_found_agrees_with_its_oracle(spark):
+    sf = "/root/testdata/sf0.01"
+    own, theirs, extra, missing = compare(spark, database(sf), "p8_found", sf)
+    assert own == theirs > 0 and not extra and not missing
+
+
+def test_found_reads_the_containers(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a" * 9000, None)], "doc_id bigint, text string, md5 string")
+    real = packing.containers
+    monkeypatch.setattr(packing, "containers", lambda d: real(d).withColumn("container_id", packing.F.lit("one")))
+    assert packing.found(df).count() == 0

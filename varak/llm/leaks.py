@@ -171,13 +171,17 @@ def _stretch(item: list[int], doc: list[int], need: int) -> bool:
         where[w].append(j)
     # a stretch follows one diagonal: insertions and omissions shift it only a little
     diagonal: dict[int, int] = defaultdict(int)
+    met = [0]
     for i, w in enumerate(doc):
+        met.append(met[-1] + (w in where))
         for j in where.get(w, ()):
             diagonal[i - j] += 1
-    if not diagonal:
-        return False
-    for d in sorted(diagonal, key=lambda x: -diagonal[x])[:3]:
+    tried: set[tuple[int, int]] = set()
+    for d in sorted(diagonal, key=lambda x: -diagonal[x]):
         a, b = max(0, d - 3), min(len(doc), d + len(item) + 3)
+        if met[b] - met[a] < need or (a, b) in tried:  # too few of its words for any order
+            continue
+        tried.add((a, b))
         if _lcs(item, doc[a:b]) >= need:
             return True
     return False

@@ -21,6 +21,8 @@ from varak.sources.tables import written
 
 #: Chance of a typing error in a name, against which the frequency of a candidate is weighed.
 TYPO = 0.05
+#: Names so short are mostly one error away from another real name, which costs so much of the posterior's logarithm.
+SHORT, SHORT_COST = 4, 3.5
 
 #: Notations of one sound, first the Cyrillic letters, then Latin letters and pairs (fixed values).
 _CYR = dict(zip("абвгдеёжзийклмнопрстуфхцчшщыэюяәөүҗңһғҡҙҫ", "a b v g d e e j z i y k l m n o p r s t u f h q c w w y e ü ä a o u j n h g k z s".split())) | {"ъ": "", "ь": ""}
@@ -234,11 +236,10 @@ def entities(authors: DataFrame, publishers: DataFrame, catalog: DataFrame) -> D
     forms = written(forms, "names")
     parts = ["given", "cut", "first", "patronymic", "second"]
     short = forms.where("kind = 'publisher' and family = ''").select("kind", "name_id", "name_form", "cut")
-    families = forms.where("family <> ''").groupBy("kind", "family").agg(
+    families = written(forms.where("family <> ''").groupBy("kind", "family").agg(
         F.sum("n").alias("n"), F.count("*").alias("forms"), F.collect_set(F.concat_ws("", F.coalesce("first", F.lit("?")), F.coalesce("second", F.lit("?")))).alias("marks"),
-        F.collect_set(F.coalesce("given", F.lit(""))).alias("givens"),
-    )
-    canon = attach_families(families)
+    ), "name-families")
+    canon = written(attach_families(families), "name-houses")
     rows = forms.where("family <> ''").join(canon, ["kind", "family"])
     profiles = rows.groupBy("kind", "house", *parts).agg(F.sum("n").alias("n"))
 
@@ -262,10 +263,11 @@ def entities(authors: DataFrame, publishers: DataFrame, catalog: DataFrame) -> D
     resolved = profiles.select(*columns).repartition("kind", "house").sortWithinPartitions("kind", "house").mapInPandas(run, schema).drop("n")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("kind", "house", *parts)]
     out = rows.alias("a").join(resolved.alias("b"), same).select("a.kind", "a.name_id", "a.name_form", F.concat_ws("#", "a.house", F.col("b.entity").cast("string")).alias("entity"))
-    # abbreviations that keep the beginnings of both halves of a name
-    cores = canon.where("kind = 'publisher'").join(families.where("kind = 'publisher'").select("family", "n"), "family").select("family", "house", F.col("n").alias("weight"), F.substring("family", 1, 3).alias("head"))
-    fits = short.withColumn("head", F.substring("cut", 1, 3)).join(cores, "head").where("instr(substring(family, 4), substring(cut, 4)) > 0")
-    best = fits.groupBy("kind", "name_id", "name_form").agg(F.max_by("house", F.struct(_tail_fit(), "weight", "family")).alias("house"))
+    # abbreviations keep the beginnings of both halves of a name, the first with two letters at least
+    cores = canon.where("kind = 'publisher'").join(families.where("kind = 'publisher'").select("family", "n"), "family").select("family", "house", F.col("n").alias("weight"), F.substring("family", 1, 2).alias("head"))
+    cuts = "filter(sequence(2, greatest(2, length(cut) - 1)), i -> startswith(family, substring(cut, 1, i)) and instr(substring(family, i + 1), substring(cut, i + 1)) > 0)"
+    fits = short.withColumn("head", F.substring("cut", 1, 2)).join(cores, "head").withColumn("cuts", F.expr(cuts)).where("size(cuts) > 0")
+    best = fits.groupBy("kind", "name_id", "name_form").agg(F.max_by("house", F.struct(F.array_contains("cuts", 3), _tail_fit(), "weight", "family")).alias("house"))
     linked = best.select("kind", "name_id", "name_form", F.concat_ws("#", "house", F.lit("0")).alias("entity"))
     lone = short.join(linked.select("name_id"), "name_id", "left_anti").select("kind", "name_id", "name_form", F.concat_ws("#", F.lit("short"), "cut").alias("entity"))
     return out.unionByName(linked).unionByName(lone)
@@ -286,25 +288,26 @@ def attach_families(families: DataFrame) -> DataFrame:
 
     Names that are one typing error apart share a key, the name without one letter, so only these pairs are made. The
     sex ending is no typing error. A candidate counts when the given parts agree and its frequency times the chance of
-    an error outweighs the variant's own frequency.
+    an error outweighs the variant's own frequency; names of up to ``SHORT`` letters, most of which are one error away
+    from another name, need more.
     """
-    keyed = families.where("length(family) > 4").withColumn("key", F.explode(F.concat(F.array("family"), F.transform(F.sequence(F.lit(1), F.length("family")), lambda i: F.concat(F.substring(F.col("family"), F.lit(1), i - 1), F.substring(F.col("family"), i + 1, F.length("family")))))))
-    left = keyed.select("kind", "key", F.col("family").alias("v"), F.col("n").alias("vn"), F.col("forms").alias("vf"), F.col("marks").alias("vm"), F.col("givens").alias("vg"))
-    right = keyed.select("kind", "key", F.col("family").alias("u"), F.col("n").alias("un"), F.col("forms").alias("uf"), F.col("marks").alias("um"), F.col("givens").alias("ug"))
+    keyed = families.withColumn("key", F.explode(F.concat(F.array("family"), F.transform(F.sequence(F.lit(1), F.length("family")), lambda i: F.concat(F.substring(F.col("family"), F.lit(1), i - 1), F.substring(F.col("family"), i + 1, F.length("family")))))))
+    left = keyed.select("kind", "key", F.col("family").alias("v"), F.col("n").alias("vn"), F.col("forms").alias("vf"), F.col("marks").alias("vm"))
+    right = keyed.select("kind", "key", F.col("family").alias("u"), F.col("n").alias("un"), F.col("forms").alias("uf"), F.col("marks").alias("um"))
     pairs = left.join(right, ["kind", "key"]).where("v <> u").where((F.col("uf") > F.col("vf")) | ((F.col("uf") == F.col("vf")) & ((F.col("un") > F.col("vn")) | ((F.col("un") == F.col("vn")) & (F.col("u") > F.col("v"))))))
     pairs = pairs.dropDuplicates(["kind", "v", "u"])
 
-    def judge(kind: pd.Series, v: pd.Series, u: pd.Series, vf: pd.Series, uf: pd.Series, vn: pd.Series, un: pd.Series, vm: pd.Series, um: pd.Series, vg: pd.Series, ug: pd.Series) -> pd.Series:
+    def judge(kind: pd.Series, v: pd.Series, u: pd.Series, vf: pd.Series, uf: pd.Series, vn: pd.Series, un: pd.Series, vm: pd.Series, um: pd.Series) -> pd.Series:
         out = []
-        for k, a, b, af, bf, an, bn, am, bm, ag, bg in zip(kind, v, u, vf, uf, vn, un, vm, um, vg, ug):
+        for k, a, b, af, bf, an, bn, am, bm in zip(kind, v, u, vf, uf, vn, un, vm, um):
             ok = near(a, b) and not (k == "person" and (a + "a" == b or b + "a" == a))
-            score = math.log((bf + 0.5 * bn) * TYPO * 20 + 1e-9) - math.log(0.3 * af + 0.2 * an)
+            score = math.log((bf + 0.5 * bn) * TYPO * 20 + 1e-9) - math.log(0.3 * af + 0.2 * an) - SHORT_COST * (min(len(a), len(b)) <= SHORT)
             if ok and k == "person":
                 ok = any(_agree(x, y) for x in am for y in bm)
             out.append(score if ok and (score > 0) else None)
         return pd.Series(out, dtype="float64")
 
-    scored = pairs.withColumn("score", F.pandas_udf(judge, "double")("kind", "v", "u", "vf", "uf", "vn", "un", "vm", "um", "vg", "ug")).where("score is not null and not isnan(score)")
+    scored = pairs.withColumn("score", F.pandas_udf(judge, "double")("kind", "v", "u", "vf", "uf", "vn", "un", "vm", "um")).where("score is not null and not isnan(score)")
     best = scored.groupBy("kind", F.col("v").alias("family")).agg(F.max_by("u", F.struct("score", "u")).alias("house"))
     # a candidate that is itself a variant passes its variants on
     once = best.alias("a").join(best.select(F.col("kind").alias("k2"), F.col("family").alias("f2"), F.col("house").alias("h2")).alias("b"), (F.col("a.kind") == F.col("k2")) & (F.col("a.house") == F.col("f2")), "left")

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from varak.sources.tables import written
+
 CAPACITY = 8192
 SHARD_CONTAINERS = 3000
 
@@ -82,6 +84,7 @@ def containers(df: DataFrame, key: str = "doc_id", column: str = "text", source:
         F.col(key).alias("k"), (F.octet_length(column).cast("bigint") + 1).alias("n"), F.xxhash64(column).alias("cluster"),
         (F.when(F.col(source).isNotNull(), F.xxhash64(source)) if source in df.columns else F.lit(None).cast("bigint")).alias("source"),
     )
+    rows = written(rows, "packing-sizes")  # sizes and hashes only, so that texts are read once
     total = rows.agg(F.sum(F.col("n") % capacity)).first()[0] or 0
     shards = max(1, -(-total // (capacity * SHARD_CONTAINERS)))
     rows = rows.withColumns({"rest": F.col("n") % capacity, "full": F.floor(F.col("n") / capacity), "shard": F.pmod(F.xxhash64("k", F.lit(7)), F.lit(shards))})
@@ -108,5 +111,6 @@ def containers(df: DataFrame, key: str = "doc_id", column: str = "text", source:
 
 
 def found(df: DataFrame) -> DataFrame:
-    """Documents that had to be split: those of more tokens than a container holds."""
-    return containers(df).where("n_pieces > 1 and piece_no = 1").select("doc_id")
+    """Documents that had to be split, once each: those whose pieces lie in more than one container."""
+    pieces = containers(df).where("n_pieces > 1")
+    return pieces.groupBy("doc_id").agg(F.count_distinct("container_id").alias("n")).where("n > 1").select("doc_id")
