@@ -3,6 +3,7 @@
 import glob
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from varak.sources import files, sinks
 from varak.sources.tables import table
@@ -43,7 +44,17 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     first = spark.read.parquet(out).count()
     ingest(spark, path, source.schema, out, state)
     assert first and spark.read.parquet(out).count() == first
-    assert spark.read.parquet(out).select("md5").distinct().count() == first
+    assert spark.read.parquet(out).select("md5", "file_path", "resource_id").distinct().count() == first
+
+
+def test_ingest_keeps_copies_at_other_paths(spark, tmp_path):
+    source = table(spark, SF, "listing")
+    path, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
+    one = source.where("entry_type = 'file' and md5 is not null").limit(1)
+    one.unionByName(one).unionByName(one.withColumn("file_path", F.lit("/other"))).write.parquet(path)
+    for _ in range(2):
+        ingest(spark, path, source.schema, out, state)
+    assert spark.read.parquet(out).count() == 2
 
 
 def test_ingest_keeps_late_entries(spark, tmp_path):

@@ -14,7 +14,7 @@ def test_every_readable_shape(spark, tmp_path):
     rows = [(str(k), m, 100, "1985") for k, m in enumerate(metas)]
     spark.createDataFrame(rows, "md5 string, meta string, page_count int, publish_date string").write.parquet(f"{tmp_path}/doc_catalog.parquet")
     columns = ["publisher", "author", "title", "language", "publish_date", "page_count"]
-    got = {r.md5: tuple(r[c] for c in columns) for r in entry.queries()["meta_records"](spark, str(tmp_path)).collect()}
+    got = {r.md5: tuple(r[c] for c in columns) for r in entry.queries()["meta_flattened"](spark, str(tmp_path)).collect()}
     one = ("P", "A", "T", "tt", "1990", 98)
     assert got == {"0": one, "1": one, "2": one, "3": one, "4": ("P", "A, B", *one[2:]), "5": (None, None, "T", None, "1985", 100)}
     more = {r.md5: (r.genre, r.unreadable) for r in entry.queries()["meta_columns"](spark, str(tmp_path)).collect()}

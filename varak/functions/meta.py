@@ -31,28 +31,30 @@ def _person(value: object) -> object:
 
 
 def _text(value: object) -> str | None:
-    if isinstance(value, list):
-        return ", ".join(t for x in value if (t := _text(x)) is not None) or None
-    return None if value is None or isinstance(value, dict) else value if isinstance(value, str) else json.dumps(value)
+    flat, todo = [], [value]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, list):
+            todo.extend(reversed(x))
+        elif x is not None and not isinstance(x, dict):
+            flat.append(x if isinstance(x, str) else json.dumps(x))
+    return ", ".join(flat) if flat else None
 
 
 def regular(text: str | None) -> str | None:
     """A readable record in the shape of ``BOOK``: lone items as lists, bare names as objects, one publisher."""
-    try:
-        if (record := read_record(text)) is None:
-            return None
-        out: dict[str, object] = {k: _text(record.get(k)) for k in _TEXTS}
-        for k in _PEOPLE:
-            people = _items(record.get(k))
-            out[k] = people and [{f: _text(v) for f, v in p.items() if f in ("@type", "name", "role")} for x in people if isinstance(p := _person(x), dict)]
-        for k in _LISTS:
-            items = _items(record.get(k))
-            out[k] = items and [{f: _text(x.get(f)) for f in ("name", "value")} if k == "additionalProperty" else _text(x) for x in items if x is not None and isinstance(x, dict) == (k == "additionalProperty")]
-        publishers = [p for x in _items(record.get("publisher")) or [] if isinstance(p := _person(x), dict)]
-        out["publisher"] = {"@type": _text(publishers[0].get("@type")), "name": _text([p.get("name") for p in publishers])} if publishers else None
-        return json.dumps({k: v for k, v in out.items() if v is not None})
-    except RecursionError:  # nested deeper than the interpreter follows
+    if (record := read_record(text)) is None:
         return None
+    out: dict[str, object] = {k: _text(record.get(k)) for k in _TEXTS}
+    for k in _PEOPLE:
+        people = _items(record.get(k))
+        out[k] = people and [{f: _text(v) for f, v in p.items() if f in ("@type", "name", "role")} for x in people if isinstance(p := _person(x), dict)]
+    for k in _LISTS:
+        items = _items(record.get(k))
+        out[k] = items and [{f: _text(x.get(f)) for f in ("name", "value")} if k == "additionalProperty" else _text(x) for x in items if x is not None and isinstance(x, dict) == (k == "additionalProperty")]
+    publishers = [p for x in _items(record.get("publisher")) or [] if isinstance(p := _person(x), dict)]
+    out["publisher"] = {"@type": _text(publishers[0].get("@type")), "name": _text([p.get("name") for p in publishers])} if publishers else None
+    return json.dumps({k: v for k, v in out.items() if v is not None})
 
 
 def book(c: Column) -> Column:

@@ -82,11 +82,14 @@ def relative_url(c: Column) -> Column:
     return ~(c.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | c.startswith("//"))
 
 
-def extension(path: Column, mime: Column) -> Column:
-    """The path's extension, else the one of the content type; null where neither is known."""
+def extension(path: Column, mime: Column, strict: bool = False) -> Column:
+    """The path's extension, else the one of the content type; where neither is known null, or an error if ``strict``."""
     own = F.regexp_extract(path, r"(\.[^./]+)$", 1)
     known = F.create_map(*[F.lit(x) for kv in rules.EXTENSIONS.items() for x in kv])
-    return F.when(own != "", own).otherwise(F.try_element_at(known, F.lower(F.trim(mime))))
+    of_type = F.try_element_at(known, F.lower(F.trim(mime)))
+    if strict:
+        of_type = F.coalesce(of_type, F.raise_error(F.concat(F.lit("no extension for "), F.coalesce(mime, F.lit("null")))).cast("string"))
+    return F.when(own != "", own).otherwise(of_type)
 
 
 def new_block(c: Column) -> Column:
@@ -99,8 +102,13 @@ def glue(tail: Column, text: Column) -> Column:
 
     The tail's last sentence goes on when it has no closing mark and the text doesn't begin a block.
     """
+    return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(glue_to(tail, new_block(text)))
+
+
+def glue_to(tail: Column, block: Column) -> Column:
+    """As ``glue`` for a text that isn't empty, of which only is known whether it begins a block."""
     closed = F.coalesce(tail, F.lit("")).rlike(r"(?:^|[.!?…][\"»”)]*)\s*$")
-    return F.when(F.coalesce(text, F.lit("")) == "", "").when(new_block(text) | closed, "\n\n").when(tail.endswith("-"), "").otherwise(" ")
+    return F.when(block | closed, "\n\n").when(tail.endswith("-"), "").otherwise(" ")
 
 
 def markdown(c: Column) -> Column:

@@ -1,7 +1,7 @@
 """Ordered page chunks of a record: planning, running state, assembly.
 
-A record's chunks are a window partition. The widest record bounds a task, not the corpus; windows keep only numbers,
-headings and tails, and whole texts are put together once, at the end.
+A record's chunks are a window partition. Windows keep only numbers, headings and tails, a few hundred bytes a chunk;
+texts stay out of them and are put together in parts of bounded size, so a record of any length is never one value.
 """
 
 from __future__ import annotations
@@ -15,10 +15,14 @@ TAIL = 300
 
 
 def latest(chunks: DataFrame) -> DataFrame:
-    """Each page range once, the latest extraction winning; chunks without content are left out."""
+    """Each page range once, the latest extraction winning; chunks without content are left out.
+
+    The winners are chosen on narrow columns, so texts are shuffled once at most.
+    """
     rows = chunks.where("content is not null and start_page is not null and end_page is not null")
     order = F.struct(F.coalesce("extracted_at", F.lit("0001-01-01").cast("timestamp_ntz")), "chunk_id")
-    return rows.groupBy("md5", "start_page", "end_page").agg(F.max_by(F.struct("chunk_id", "content"), order).alias("c")).select("md5", "start_page", "end_page", "c.chunk_id", "c.content")
+    best = rows.groupBy("md5", "start_page", "end_page").agg(F.max_by("chunk_id", order).alias("chunk_id"))
+    return rows.select("md5", "start_page", "end_page", "chunk_id", "content").join(best.select("chunk_id"), "chunk_id", "left_semi")
 
 
 def _before() -> Window:
@@ -37,33 +41,54 @@ def header_hierarchy(chunks: DataFrame) -> DataFrame:
     return rows.select("md5", "start_page", "end_page", F.array_join(F.flatten(F.collect_list("own").over(_before())), "\n").alias("hierarchy"))
 
 
-def glued(chunks: DataFrame) -> DataFrame:
-    """Each chunk with what stands before it: nothing, a blank or an empty line."""
+PART = 64 * 1024 * 1024
+
+
+def glues(chunks: DataFrame) -> DataFrame:
+    """``md5, start_page, end_page, chunk_id, glue, size``: what stands before each chunk, and its characters."""
     w = Window.partitionBy("md5").orderBy("start_page", "end_page")
-    rows = chunks.withColumn("tail", F.lag(F.right(F.col("content"), F.lit(TAIL))).over(w))
-    first = F.row_number().over(w) == 1
-    return rows.withColumn("glue", F.when(first, F.lit("")).otherwise(T.glue(F.col("tail"), F.col("content")))).drop("tail")
+    content = F.col("content")
+    rows = chunks.select("md5", "start_page", "end_page", "chunk_id", F.right(content, F.lit(TAIL)).alias("own"), T.new_block(content).alias("block"), F.length(content).cast("bigint").alias("size"))
+    rows = rows.withColumns({"tail": F.lag("own").over(w), "first": F.row_number().over(w) == 1})
+    glue = F.when(F.col("first") | (F.col("size") == 0), F.lit("")).otherwise(T.glue_to(F.col("tail"), F.col("block")))
+    return rows.select("md5", "start_page", "end_page", "chunk_id", glue.alias("glue"), "size")
+
+
+def document_parts(chunks: DataFrame, size: int = PART) -> DataFrame:
+    """``md5, part_no, text, n_chunks``: the record's text in page order as parts, with words over chunk ends joined.
+
+    A part is closed by the chunk that reaches ``size`` characters; the parts of a record one after the other are its
+    text. No task holds more of a record than one part and the narrow rows of its chunks.
+    """
+    w = Window.partitionBy("md5").orderBy("start_page", "end_page").rowsBetween(Window.unboundedPreceding, -1)
+    placed = glues(chunks).withColumn("part_no", F.floor(F.coalesce(F.sum("size").over(w), F.lit(0)) / size).cast("int"))
+    rows = chunks.select("chunk_id", "content").join(placed, "chunk_id")
+    piece = F.struct("start_page", "end_page", F.concat("glue", T.trim_tail(F.col("content"))).alias("piece"))
+    one = rows.groupBy("md5", "part_no").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    return one.select("md5", "part_no", F.array_join("pieces.piece", "").alias("text"), F.size("pieces").alias("n_chunks"))
 
 
 def documents(chunks: DataFrame) -> DataFrame:
-    """``md5, text, n_chunks``: the record's text in page order, with words over chunk ends joined."""
-    rows = glued(chunks).select("md5", F.struct("start_page", "end_page", F.concat("glue", T.trim_tail(F.col("content"))).alias("piece")).alias("p"))
-    one = rows.groupBy("md5").agg(F.array_sort(F.collect_list("p")).alias("pieces"))
-    return one.select("md5", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("text"), F.size("pieces").alias("n_chunks"))
+    """``md5, text, n_chunks``: each record's text as one value, for records below Spark's 2 GB of a value."""
+    parts = document_parts(chunks).groupBy("md5").agg(F.array_sort(F.collect_list(F.struct("part_no", "text"))).alias("p"), F.sum("n_chunks").cast("int").alias("n_chunks"))
+    return parts.select("md5", F.array_join("p.text", "").alias("text"), "n_chunks")
 
 
 def gaps(ranges: DataFrame, totals: DataFrame, size: int = 5) -> DataFrame:
     """``md5, start_page, end_page``: chunks of at most ``size`` pages that fill what is not covered yet.
 
     Pages count from 0 to ``n_pages`` - 1. Overlapping and nested ranges are covered; a record without any range is
-    planned whole; a failed chunk is planned again by calling this with a smaller size.
+    planned whole. A column ``size`` of ``totals`` goes before the parameter: that is how failed chunks are planned again
+    with the next smaller size (see ``triage``).
     """
+    sizes = totals.select("md5", F.col("size") if "size" in totals.columns else F.lit(size).alias("size"))
     ends = totals.select("md5", F.col("n_pages").alias("start_page"), F.col("n_pages").alias("end_page"))
     rows = ranges.join(totals, "md5", "left_semi").select("md5", "start_page", "end_page").unionByName(ends)
     w = Window.partitionBy("md5").orderBy("start_page", "end_page").rowsBetween(Window.unboundedPreceding, -1)
     free = rows.withColumn("from", F.coalesce(F.max("end_page").over(w) + 1, F.lit(0))).where(F.col("from") < F.col("start_page"))
-    starts = free.select("md5", F.explode(F.sequence("from", F.col("start_page") - 1, F.lit(size))).alias("s"), (F.col("start_page") - 1).alias("last"))
-    return starts.select("md5", F.col("s").alias("start_page"), F.least(F.col("s") + size - 1, "last").alias("end_page"))
+    free = free.join(sizes, "md5") if "size" in totals.columns else free.withColumn("size", F.lit(size))
+    starts = free.select("md5", "size", F.explode(F.sequence("from", F.col("start_page") - 1, F.col("size"))).alias("s"), (F.col("start_page") - 1).alias("last"))
+    return starts.select("md5", F.col("s").alias("start_page"), F.least(F.col("s") + F.col("size") - 1, "last").alias("end_page"))
 
 
 def merged_tail(plan: DataFrame, least: int = 5) -> DataFrame:

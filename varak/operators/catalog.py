@@ -43,8 +43,8 @@ def nontarget_place(language: Column) -> Column:
     return F.concat(F.lit("nontatar/"), F.array_join(F.array_sort(F.split(language, ", ")), "-"))
 
 
-def nontextual(mime: Column, path: Column) -> Column:
-    return F.coalesce(mime.isin(*rules.NON_DOCUMENT_TYPES), F.lit(False)) | F.coalesce(_ends(path, rules.NON_DOCUMENT_SUFFIXES), F.lit(False))
+def nontextual(mime: Column, path: Column, types: tuple = rules.NON_DOCUMENT_TYPES, suffixes: tuple = rules.NON_DOCUMENT_SUFFIXES) -> Column:
+    return F.coalesce(mime.isin(*types), F.lit(False)) | F.coalesce(_ends(path, suffixes), F.lit(False))
 
 
 def _ends(c: Column, suffixes: tuple[str, ...]) -> Column:
@@ -54,17 +54,46 @@ def _ends(c: Column, suffixes: tuple[str, ...]) -> Column:
     return out
 
 
-def skip_by_type(mime: Column, path: Column) -> Column:
+def skip_by_type(mime: Column, path: Column, types: tuple = rules.NON_DOCUMENT_TYPES, rescues: tuple = rules.RESCUES) -> Column:
     """``skip, mime_type``: whether a file is left out for its type, some being rescued by their extension."""
-    out = F.when(~F.coalesce(mime.isin(*rules.NON_DOCUMENT_TYPES), F.lit(False)), F.struct(F.lit(False).alias("skip"), mime.alias("mime_type")))
-    for wrong, suffix, right in rules.RESCUES:
+    out = F.when(~F.coalesce(mime.isin(*types), F.lit(False)), F.struct(F.lit(False).alias("skip"), mime.alias("mime_type")))
+    for wrong, suffix, right in rescues:
         out = out.when((mime == wrong) & path.endswith(suffix), F.struct(F.lit(False).alias("skip"), F.lit(right).alias("mime_type")))
     return out.otherwise(F.struct(F.lit(True).alias("skip"), mime.alias("mime_type")))
 
 
-def skip_by_path(path: Column) -> Column:
+def skip_by_path(path: Column, skips: tuple = rules.PATH_SKIPS) -> Column:
     """The fragment of the rule that leaves a path out, or null."""
-    return F.coalesce(*[F.when(path.contains(part) & _ends(path, ends), F.lit(part)) for part, ends in rules.PATH_SKIPS])
+    return F.coalesce(*[F.when((path.startswith(part) if whole else path.contains(part)) & _ends(path, ends), F.lit(part)) for part, whole, ends in skips])
+
+
+def full(path: Column, mark: str = rules.LIMITED_MARK) -> Column:
+    """Whether a file is complete, by where it lies."""
+    return ~path.contains(mark)
+
+
+def restricted(path: Column, mark: str = rules.HIDDEN_MARK) -> Column:
+    return path.contains(mark)
+
+
+def meta_slice(text: Column, chars: int = rules.META_CHARS) -> Column:
+    """The beginning of a text from which metadata is drawn."""
+    return F.substring(text, 1, chars)
+
+
+def layout_pages(totals: DataFrame, most: int = rules.LAYOUT_PAGES) -> DataFrame:
+    """``md5, page``: the pages whose layout is read, the first ``most`` from 0."""
+    return totals.where("n_pages > 0").select("md5", F.explode(F.sequence(F.lit(0), F.least(F.col("n_pages"), F.lit(most)) - 1)).alias("page"))
+
+
+def queue_sizes(df: DataFrame, skip: DataFrame) -> DataFrame:
+    """One row with the length of each work queue."""
+    named = {"nonpdf": nonpdf_queue(df), "pdf": pdf_queue(df, skip), "meta": meta_queue(df, skip), "upload": upload_queue(df), "layout": layout_queue(df)}
+    rows = [q.select(F.lit(k).alias("queue")) for k, q in named.items()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.agg(*[F.count_if(F.col("queue") == k).alias(k) for k in named])
 
 
 def nonpdf_queue(df: DataFrame) -> DataFrame:

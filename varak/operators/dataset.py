@@ -20,13 +20,18 @@ def unmatched(texts: DataFrame, catalog: DataFrame) -> DataFrame:
     return texts.select("md5").join(catalog.select("md5"), "md5", "left_anti")
 
 
-def shard_plan(df: DataFrame, key: str, size: str, buckets: int = 16, max_rows: int = SHARD_ROWS, max_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Shard numbers by running rows and bytes inside buckets of a hash, so that no window spans the whole table."""
-    w = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    spread = df.withColumn("bucket", F.pmod(F.crc32(F.col(key).cast("string")), F.lit(buckets)))
-    r, b = F.count("*").over(w), F.coalesce(F.sum(size).over(w), F.lit(0))
-    part = F.greatest(F.floor((r - 1) / max_rows), F.floor((b - F.coalesce(F.col(size), F.lit(0))) / max_bytes))
-    return spread.select(key, "bucket", part.cast("bigint").alias("shard"))
+def shard_plan(df: DataFrame, key: str, size: str, max_rows: int = SHARD_ROWS, max_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``key, bucket, shard``: shard numbers by running rows and bytes inside buckets of a hash.
+
+    There are as many buckets as the data fills shards, so no window spans more than about one shard whatever the size of
+    the table. A shard is closed by the row that reaches ``max_rows`` or ``max_bytes``, rows counting in hash order.
+    """
+    totals = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+    buckets = totals.select(F.greatest(F.lit(1), F.ceil(F.col("n") / max_rows), F.ceil(F.col("bytes") / max_bytes)).alias("buckets"))
+    spread = df.join(F.broadcast(buckets)).withColumn("bucket", F.pmod(F.crc32(F.col(key).cast("string")), F.col("buckets")))  # one row
+    w = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    rows, total = F.count("*").over(w), F.coalesce(F.sum(size).over(w), F.lit(0))
+    return spread.select(key, "bucket", F.greatest(F.floor(rows / max_rows), F.floor(total / max_bytes)).cast("bigint").alias("shard"))
 
 
 def counters(texts: DataFrame, catalog: DataFrame) -> DataFrame:

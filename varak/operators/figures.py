@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varak.functions import geo
 
 _BOX = ("x0", "y0", "x1", "y1")
+#: What an image looks like in a text, round its link and caption (fixed values).
+IMAGE = ('<figure style="text-align: center; margin: 1em 0;"><img alt="" src="', '" style="max-width: 800px; width: 50%; height: auto;">', "</figure>\n")
 
 
 def parsed(texts: DataFrame, key: str = "md5", column: str = "content") -> DataFrame:
@@ -33,21 +38,69 @@ def candidates(figures: DataFrame, boxes: DataFrame, keys: list[str], width: flo
 def matches(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """Greedy one-to-one matches of each page: overlaps before distances, the best first, ties by ids.
 
-    A page's candidates, a few dozen at most, are folded as one sorted array, so no Python runs.
+    Candidates of a page come sorted to one task and are taken one after the other, so a page costs its candidates and
+    no more memory than its matched ids, however many there are.
     """
-    one = F.struct(
-        (F.col("method") != "iou").alias("late"), F.when(F.col("method") == "iou", -F.col("score")).otherwise(F.col("score")).alias("cost"),
-        "figure_id", "detected_id", "method", "score",
-    )
-    kind = "array<" + pairs.select(one.alias("x")).schema["x"].dataType.simpleString() + ">"
-    pages = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("ranked"))
-
-    def step(kept: Column, x: Column) -> Column:
-        taken = F.exists(kept, lambda k: (k["figure_id"] == x["figure_id"]) | (k["detected_id"] == x["detected_id"]))
-        return F.when(taken, kept).otherwise(F.concat(kept, F.array(x)))
-
-    kept = F.aggregate("ranked", F.array().cast(kind), step)
-    return pages.select(*keys, F.explode(kept).alias("k")).select(*keys, "k.figure_id", "k.detected_id", "k.method", "k.score")
+    late, cost = F.col("method") != "iou", F.when(F.col("method") == "iou", -F.col("score")).otherwise(F.col("score"))
+    ordered = pairs.withColumns({"late": late, "cost": cost}).repartition(*keys).sortWithinPartitions(*keys, "late", "cost", "figure_id", "detected_id")
+    names = [*keys, "figure_id", "detected_id", "method", "score"]
+    schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        page, figures, boxes = None, set(), set()
+        for pdf in batches:
+            keep = []
+            for row in pdf[names].itertuples(index=False, name=None):
+                if row[: len(keys)] != page:
+                    page, figures, boxes = row[: len(keys)], set(), set()
+                f, b = row[len(keys) : len(keys) + 2]
+                keep.append(free := f not in figures and b not in boxes)
+                if free:
+                    figures.add(f)
+                    boxes.add(b)
+            yield pdf.loc[keep, names]
+
+    return ordered.select(*names).mapInPandas(run, schema)
+
+
+def by_page(figures: DataFrame, key: str = "md5") -> DataFrame:
+    """Figures of each page in reading order: key, ``page, figures``."""
+    one = F.struct("figure_no", "html", "bbox", "caption")
+    return figures.where("page is not null").groupBy(key, "page").agg(F.array_sort(F.collect_list(one)).alias("figures"))
+
+
+def clip_order(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """Boxes of each page numbered from 0 by their left, then their upper edge."""
+    return boxes.withColumn("clip_no", F.row_number().over(Window.partitionBy(*keys).orderBy("x0", "y0", "box_id")) - 1)
+
+
+def replacements(figures: DataFrame, matched: DataFrame, keys: list[str]) -> DataFrame:
+    """Every figure with what stands in its place: an image where a box was matched, else nothing.
+
+    ``figures`` has the keys, ``figure_id, html, caption``; ``matched`` the keys, ``figure_id, url``.
+    """
+    rows = figures.join(matched.select(*keys, "figure_id", "url"), [*keys, "figure_id"], "left")
+    caption = F.when(F.coalesce("caption", F.lit("")) != "", F.concat(F.lit("<figcaption>"), "caption", F.lit("</figcaption>"))).otherwise("")
+    image = F.concat(F.lit(IMAGE[0]), "url", F.lit(IMAGE[1]), caption, F.lit(IMAGE[2]))
+    return rows.withColumn("replacement", F.coalesce(image, F.lit("")))
+
+
+def detections(boxes: DataFrame, kind: str = "picture") -> DataFrame:
+    """Detected boxes of one class in lower case, their confidence as text with two digits at most."""
+    return boxes.withColumn("class", F.lower("class")).where(F.col("class") == kind).withColumn("conf", F.round("conf", 2).cast("string"))
+
+
+def layout_records(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """One record for each page: keys, ``w, h, layouts`` with the boxes in their order."""
+    one = F.struct("box_id", F.array("x0", "y0", "x1", "y1").alias("bbox"), F.lower("class").alias("class"), F.round("conf", 2).cast("string").alias("conf"))
+    return boxes.groupBy(*keys).agg(F.max("w").alias("w"), F.max("h").alias("h"), F.array_sort(F.collect_list(one)).alias("layouts"))
+
+
+def rescaled(records: DataFrame, keys: list[str], width: Column, height: Column) -> DataFrame:
+    """Boxes of layout records in the space of a page of ``width`` by ``height``: keys, ``box_id, class, conf, x0..y1``."""
+    rows = records.select(*keys, "w", "h", width.alias("pw"), height.alias("ph"), F.explode("layouts").alias("l"))
+    at = [(F.col("l.bbox")[k] * F.col("pw" if k % 2 == 0 else "ph") / F.col("w" if k % 2 == 0 else "h")).alias(c) for k, c in enumerate(_BOX)]
+    return rows.select(*keys, "l.box_id", "l.class", "l.conf", *at)
 
 
 def replaced(texts: DataFrame, pairs: DataFrame, key: str = "md5", column: str = "content") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varak import rules
-from varak.operators.catalog import isbn_key, nontarget, nontarget_place, nontextual, skip_by_path, skip_by_type
+from varak.operators.catalog import full, isbn_key, nontarget, nontarget_place, nontextual, skip_by_path, skip_by_type
 
 
 def duplicate_groups(catalog: DataFrame) -> DataFrame:
@@ -25,11 +25,11 @@ def isbn_survivors(catalog: DataFrame) -> DataFrame:
     in type, completeness and pages, the first by public URL; other groups need a review and ``keep`` is null.
     All counts come from one aggregation with partial sums, so a hot group is never gathered.
     """
-    full, pdf = F.coalesce(F.col("is_full"), F.lit(False)), F.coalesce(F.col("mime_type").isin(*rules.PDF_TYPES), F.lit(False))
+    whole, pdf = F.coalesce(F.col("is_full"), F.lit(False)), F.coalesce(F.col("mime_type").isin(*rules.PDF_TYPES), F.lit(False))
     extracted = F.coalesce(F.col("content_url") != "", F.lit(False))
     rows = catalog.where("isbn is not null").select(
-        isbn_key(F.col("isbn")).alias("isbn_key"), "md5", full.alias("a"), (full & pdf).alias("b"), (full & pdf & extracted).alias("c"),
-        F.concat_ws("-", F.coalesce(F.col("page_count").cast("string"), F.lit("?")), F.coalesce("mime_type", F.lit("?")), full.cast("string")).alias("shape"), "ya_public_url",
+        isbn_key(F.col("isbn")).alias("isbn_key"), "md5", whole.alias("a"), (whole & pdf).alias("b"), (whole & pdf & extracted).alias("c"),
+        F.concat_ws("-", F.coalesce(F.col("page_count").cast("string"), F.lit("?")), F.coalesce("mime_type", F.lit("?")), whole.cast("string")).alias("shape"), "ya_public_url",
     ).where("isbn_key <> ''")
     counts = rows.groupBy("isbn_key").agg(
         F.count("*").alias("n"), F.count_if("a").alias("na"), F.count_if("b").alias("nb"), F.count_if("c").alias("nc"),
@@ -41,8 +41,11 @@ def isbn_survivors(catalog: DataFrame) -> DataFrame:
     return joined.select("isbn_key", "md5", "rule", keep.alias("keep"))
 
 
-def wiping_plan(catalog: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """``md5, destination``; a duplicate beats a non-document, that a foreign language, that the stored plan."""
+def wiping_plan(catalog: DataFrame, stored: DataFrame | None = None, incomplete: DataFrame | None = None) -> DataFrame:
+    """``md5, destination``; a duplicate beats a non-document, that a foreign language, that the stored plan.
+
+    ``incomplete`` has the ``md5`` of files that are also there in full; the stored plan deletes them (``void``).
+    """
     parts = [
         catalog.where(nontarget(F.col("language"))).select("md5", nontarget_place(F.col("language")).alias("destination"), F.lit(1).alias("rank")),
         catalog.where(nontextual(F.col("mime_type"), F.col("ya_path"))).select("md5", F.lit("nontextual").alias("destination"), F.lit(2).alias("rank")),
@@ -50,6 +53,8 @@ def wiping_plan(catalog: DataFrame, stored: DataFrame | None = None) -> DataFram
     ]
     if stored is not None:
         parts.append(stored.select("md5", "destination", F.lit(0).alias("rank")))
+    if incomplete is not None:
+        parts.append(incomplete.select("md5", F.lit("void").alias("destination"), F.lit(0.5).cast("double").alias("rank")))
     plan = parts[0]
     for p in parts[1:]:
         plan = plan.unionByName(p)
@@ -83,15 +88,35 @@ def move_target(path, destination, root: str = "/corpus"):
 
 
 def delete_batches(keys: DataFrame, plan: DataFrame, size: int = 1000) -> DataFrame:
-    """Object keys that begin with a planned hash, numbered in batches of at most ``size``.
+    """Object keys that begin with a planned hash, numbered in full batches of ``size``: ``obj_key, batch``.
 
-    A hash has 32 characters, so the prefix join is an equality. Batches count inside 64 buckets of the hash: no global
-    sort gathers all keys in one task.
+    A hash has 32 characters, so the prefix join is an equality. Keys are numbered inside 4,096 buckets of the hash, and
+    the buckets' counts, one row each, give where each begins: no sort gathers all keys in one task.
     """
-    hit = keys.withColumn("md5", F.substring("obj_key", 1, 32)).join(plan.select("md5"), "md5", "left_semi")
-    bucket = hit.withColumn("bucket", F.substring("md5", 1, 2))
-    n = F.row_number().over(Window.partitionBy("bucket").orderBy("obj_key"))
-    return bucket.select("obj_key", "bucket", F.floor((n - 1) / size).cast("bigint").alias("batch"))
+    hit = keys.withColumn("md5", F.substring("obj_key", 1, 32)).join(plan.select("md5").distinct(), "md5", "left_semi").withColumn("bucket", F.substring("md5", 1, 3))
+    counts = hit.groupBy("bucket").agg(F.count("*").alias("n"))
+    before = counts.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    numbered = hit.withColumn("k", F.row_number().over(Window.partitionBy("bucket").orderBy("obj_key"))).join(F.broadcast(before), "bucket")  # 4,096 rows
+    return numbered.select("obj_key", F.floor((F.col("before") + F.col("k") - 1) / size).cast("bigint").alias("batch"))
+
+
+def with_upstream(files: DataFrame, upstream: DataFrame) -> DataFrame:
+    """Files of a listing with the link of the metadata supplied for them, null where there is none."""
+    one = upstream.groupBy("md5").agg(F.max("url").alias("upstream_meta_url"))
+    return files.join(one, "md5", "left")
+
+
+def merged(first: DataFrame, second: DataFrame, key: str = "md5") -> DataFrame:
+    """Rows of two corpora, each key once; where both have it the second wins, then the smaller row."""
+    rows = first.withColumn("rank", F.lit(1)).unionByName(second.withColumn("rank", F.lit(0)))
+    rest = [c for c in first.columns if c != key]
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("rank", *rest)).alias("r"))
+    return one.select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def display_order(rows: DataFrame, group: str, order: str, key: str = "md5") -> DataFrame:
+    """Rows of each group numbered from 1 as they are shown: by ``order``, nulls first, ties by key."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.coalesce(order, F.lit("")), key)))
 
 
 def restricted_audit(catalog: DataFrame, listing: DataFrame) -> DataFrame:
@@ -107,13 +132,16 @@ def name_key(c):
     def nfc(s: pd.Series) -> pd.Series:
         return s.map(lambda x: unicodedata.normalize("NFC", x.strip()), na_action="ignore")
 
-    return F.pandas_udf(nfc, "string")(c)
+    plain = c.rlike(r"\A[\x21-\x7E](?:[\x20-\x7E]*[\x21-\x7E])?\z")  # already canonical
+    return F.when(plain, c).otherwise(F.pandas_udf(nfc, "string")(F.when(~plain, c)))
 
 
 def limited_matches(listing: DataFrame) -> DataFrame:
-    """Incomplete files that are also there in full, by name: ``md5, full_md5``; of equal names the greatest hash counts."""
-    rows = listing.where("entry_type = 'file' and md5 is not null and file_name is not null").select(name_key(F.col("file_name")).alias("name"), "md5", F.col("file_path").contains(rules.LIMITED_MARK).alias("limited"))
-    one = rows.groupBy("name").agg(F.max(F.when(F.col("limited"), F.col("md5"))).alias("md5"), F.max(F.when(~F.col("limited"), F.col("md5"))).alias("full_md5"))
+    """Incomplete files that are also there in full, by name: ``name, md5, full_md5``; of equal names the last listed counts."""
+    rows = listing.where("entry_type = 'file' and md5 is not null and file_name is not null").select(name_key(F.col("file_name")).alias("name"), "md5", full(F.col("file_path")).alias("full"), "listed_at")
+    last = F.struct(F.coalesce("listed_at", F.lit("0001-01-01").cast("timestamp_ntz")), "md5")
+    of = lambda which: F.max(F.when(which, last))["md5"]
+    one = rows.groupBy("name").agg(of(~F.col("full")).alias("md5"), of(F.col("full")).alias("full_md5"))
     return one.where("md5 is not null and full_md5 is not null and md5 <> full_md5")
 
 

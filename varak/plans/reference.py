@@ -105,12 +105,12 @@ def plan_nontarget_language(s, d):
 
 @query(f"SELECT md5, mime_type FROM doc_catalog WHERE mime_type IN {_NONDOC} OR ends_with(ya_path, '.eaf') OR ends_with(ya_path, '.musx') OR ends_with(ya_path, '.bin')")
 def plan_nontextual(s, d):
-    c = _cat(s, d)
-    return c.where(catalog.nontextual(F.col("mime_type"), F.col("ya_path")) | F.coalesce(F.col("ya_path").endswith(".bin"), F.lit(False))).select("md5", "mime_type")
+    suffixes = (*rules.NON_DOCUMENT_SUFFIXES, ".bin")
+    return _cat(s, d).where(catalog.nontextual(F.col("mime_type"), F.col("ya_path"), suffixes=suffixes)).select("md5", "mime_type")
 
 
 def _path_case() -> str:
-    arms = "".join(f" WHEN contains(file_path, '{p}') AND (" + " OR ".join(f"ends_with(file_path, '{e}')" for e in ends) + f") THEN '{p}'" for p, ends in rules.PATH_SKIPS)
+    arms = "".join(f" WHEN {'starts_with' if whole else 'contains'}(file_path, '{p}') AND (" + " OR ".join(f"ends_with(file_path, '{e}')" for e in ends) + f") THEN '{p}'" for p, whole, ends in rules.PATH_SKIPS)
     return f"CASE{arms} END"
 
 
@@ -218,7 +218,7 @@ def _keys(s, d) -> DataFrame:
 
 
 @query(f"""WITH {_PLAN}, {_KEYS}
-SELECT obj_key, obj_key[1:2] AS bucket, CAST(floor((row_number() OVER (PARTITION BY obj_key[1:2] ORDER BY obj_key) - 1) / 10) AS BIGINT) AS batch FROM keys WHERE obj_key[1:32] IN (SELECT md5 FROM plan)""")
+SELECT obj_key, CAST(floor((row_number() OVER (ORDER BY obj_key) - 1) / 10) AS BIGINT) AS batch FROM keys WHERE obj_key[1:32] IN (SELECT md5 FROM plan)""")
 def delete_key_batches(s, d):
     return reconcile.delete_batches(_keys(s, d), reconcile.wiping_plan(_cat(s, d)), 10)
 
@@ -236,8 +236,8 @@ def restricted_audit(s, d):
     return reconcile.restricted_audit(_cat(s, d), table(s, d, "listing"))
 
 
-_LIMITED = """named AS (SELECT nfc_normalize(trim(file_name)) AS name, md5, contains(file_path, '/limited/') AS limited FROM listing WHERE entry_type = 'file' AND md5 IS NOT NULL AND file_name IS NOT NULL),
-pairs AS (SELECT name, max(md5) FILTER (WHERE limited) AS md5, max(md5) FILTER (WHERE NOT limited) AS full_md5 FROM named GROUP BY name),
+_LIMITED = """named AS (SELECT nfc_normalize(trim(file_name)) AS name, md5, contains(file_path, '/limited/') AS limited, row(coalesce(listed_at, TIMESTAMP '0001-01-01'), md5) AS last FROM listing WHERE entry_type = 'file' AND md5 IS NOT NULL AND file_name IS NOT NULL),
+pairs AS (SELECT name, arg_max(md5, last) FILTER (WHERE limited) AS md5, arg_max(md5, last) FILTER (WHERE NOT limited) AS full_md5 FROM named GROUP BY name),
 matches AS (SELECT * FROM pairs WHERE md5 IS NOT NULL AND full_md5 IS NOT NULL AND md5 <> full_md5)"""
 
 
@@ -365,7 +365,7 @@ glued AS (SELECT *, CASE WHEN place = 1 OR content = '' THEN '' WHEN {_BLOCK} OR
 
 @query(f"WITH {_GLUED} SELECT md5, start_page, end_page, glue FROM glued")
 def chunk_continuity(s, d):
-    return assemble.glued(_chunks(s, d)).select("md5", "start_page", "end_page", "glue")
+    return assemble.glues(_chunks(s, d)).select("md5", "start_page", "end_page", "glue")
 
 
 @query(f"""WITH {_GLUED} SELECT md5, string_agg(glue || CASE WHEN ends_with(t, chr(10)) THEN left(t, length(t) - 1) ELSE t END, '' ORDER BY start_page, end_page) AS text, count(*) AS n_chunks
@@ -374,6 +374,14 @@ def assembled_documents(s, d):
     return assemble.documents(_chunks(s, d)).withColumn("n_chunks", F.col("n_chunks").cast("bigint"))
 
 
+@query(f"""WITH {_GLUED}, sized AS (SELECT *, floor((sum(length(content)) OVER (PARTITION BY md5 ORDER BY start_page, end_page) - length(content)) / 4000) AS part_no FROM glued)
+SELECT md5, CAST(part_no AS INT) AS part_no, string_agg(glue || CASE WHEN ends_with(t, chr(10)) THEN left(t, length(t) - 1) ELSE t END, '' ORDER BY start_page, end_page) AS text
+FROM (SELECT *, CASE WHEN ends_with(content, '-') THEN left(content, length(content) - 1) ELSE content END AS t FROM sized) GROUP BY md5, part_no""")
+def document_parts(s, d):
+    """Texts of records in parts of 4,000 characters or a little more."""
+    return assemble.document_parts(_chunks(s, d), 4000).drop("n_chunks")
+
+
 def _totals(s, d) -> DataFrame:
     return _cat(s, d).where("page_count > 0").select("md5", F.col("page_count").alias("n_pages"))
 
@@ -399,9 +407,17 @@ def uncovered_pages(s, d):
     return assemble.uncovered_pages(_ranges(s, d), _totals(s, d)).select("md5", F.col("page").cast("bigint").alias("page"))
 
 
-@query()
+_GAPS = f"""{_FREE}, islands AS (SELECT md5, page, page - row_number() OVER (PARTITION BY md5 ORDER BY page) AS island FROM free),
+placed AS (SELECT md5, page, island, floor((row_number() OVER (PARTITION BY md5, island ORDER BY page) - 1) / 5) AS part FROM islands),
+gaps AS (SELECT md5, min(page) AS start_page, max(page) AS end_page FROM placed GROUP BY md5, island, part)"""
+
+
+@query(f"""WITH {_GAPS}, turned AS (SELECT *, row_number() OVER (PARTITION BY md5 ORDER BY start_page DESC) AS k, lag(end_page) OVER w AS before, lead(start_page) OVER w AS next_start, lead(end_page) OVER w AS next_end FROM gaps WINDOW w AS (PARTITION BY md5 ORDER BY start_page))
+SELECT md5, start_page, CASE WHEN k = 2 AND next_end - next_start + 1 < 5 AND end_page + 1 = next_start THEN next_end ELSE end_page END AS end_page
+FROM turned WHERE NOT (k = 1 AND end_page - start_page + 1 < 5 AND coalesce(before + 1 = start_page, false))""")
 def chunk_plan_merged(s, d):
-    return assemble.merged_tail(assemble.gaps(_ranges(s, d), _totals(s, d)))
+    out = assemble.merged_tail(assemble.gaps(_ranges(s, d), _totals(s, d)))
+    return out.select("md5", F.col("start_page").cast("bigint").alias("start_page"), F.col("end_page").cast("bigint").alias("end_page"))
 
 
 @query("""WITH picked AS (SELECT md5, page, page - row_number() OVER (PARTITION BY md5 ORDER BY page) AS island FROM (SELECT md5, page_count, unnest(range(page_count)) AS page FROM doc_catalog WHERE page_count > 0) WHERE page < 5 OR page >= page_count - 5)
@@ -412,45 +428,55 @@ def page_islands(s, d):
 
 # metadata
 
-_META_SQL = """WITH plain AS (SELECT md5, publish_date AS old, page_count AS old_pages, TRY_CAST(meta AS JSON) AS j FROM doc_catalog WHERE starts_with(meta, '{"@context"') AND NOT contains(meta, '"@graph"')),
-shaped AS (SELECT * FROM plain WHERE j IS NOT NULL AND json_type(j, '$.publisher') = 'OBJECT' AND json_type(j, '$.author') = 'ARRAY' AND NOT list_contains(list_transform(CAST(json_extract(j, '$.author[*]') AS JSON[]), lambda x: json_type(x)), 'VARCHAR'))
-SELECT md5, CASE WHEN lower(j->>'$.publisher.name') <> 'unknown' THEN j->>'$.publisher.name' END AS publisher,
-  array_to_string(list_filter(list_transform(CAST(json_extract(j, '$.author[*]') AS JSON[]), lambda x: x->>'$.name'), lambda n: n IS NOT NULL AND lower(n) <> 'unknown'), ', ') AS author,
+_BARE = r"regexp_replace(regexp_replace({}, '^\s*```[a-zA-Z]*\s*', ''), '\s*```\s*$', '')"
+_LIST = "CASE WHEN coalesce(json_type({0}), 'NULL') = 'NULL' THEN NULL WHEN json_type({0}) = 'ARRAY' THEN CAST({0} AS JSON[]) ELSE [{0}] END"
+_NAMES = "list_filter(list_transform({}, lambda x: CASE WHEN json_type(x) = 'OBJECT' THEN x->>'$.name' WHEN json_type(x) = 'VARCHAR' THEN x->>'$' END), lambda n: n IS NOT NULL)"
+#: Records of every readable shape in SQL: fences and strings round them taken off, the Book of a graph taken out.
+_META = f"""WITH a AS (SELECT md5, meta, publish_date AS old, page_count AS old_pages, TRY_CAST({_BARE.format('meta')} AS JSON) AS j FROM doc_catalog),
+b AS (SELECT * REPLACE (CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST({_BARE.format("(j->>'$')")} AS JSON) ELSE j END AS j) FROM a),
+c AS (SELECT *, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) WHEN json_type(j, '$."@graph"') = 'ARRAY' AND json_type(j, '$.name') IS NULL THEN CAST(json_extract(j, '$."@graph"') AS JSON[]) END AS g FROM b),
+e AS (SELECT *, list_filter(g, lambda x: json_type(x) = 'OBJECT') AS o FROM c),
+records AS (SELECT md5, meta, old, old_pages, CASE WHEN g IS NULL THEN CASE WHEN json_type(j) = 'OBJECT' THEN j END ELSE coalesce(list_filter(o, lambda x: x->>'$."@type"' = 'Book')[1], o[1]) END AS j FROM e)"""
+
+
+@query(f"""{_META}, lists AS (SELECT *, {_LIST.format("json_extract(j, '$.author')")} AS authors, {_LIST.format("json_extract(j, '$.publisher')")} AS publishers FROM records WHERE j IS NOT NULL),
+named AS (SELECT *, {_NAMES.format('publishers')} AS houses FROM lists)
+SELECT md5, CASE WHEN len(houses) > 0 AND lower(array_to_string(houses, ', ')) <> 'unknown' THEN array_to_string(houses, ', ') END AS publisher,
+  array_to_string(list_filter({_NAMES.format('authors')}, lambda n: lower(n) <> 'unknown'), ', ') AS author,
   CASE WHEN lower(j->>'$.name') <> 'unknown' THEN j->>'$.name' END AS title,
   array_to_string(list_sort(list_filter(list_transform(string_split(j->>'$.inLanguage', ','), lambda x: trim(x)), lambda x: x <> '')), ', ') AS language,
-  CASE WHEN regexp_matches(trim(j->>'$.datePublished'), '^\\d{4}[\\d-]*$') THEN trim(j->>'$.datePublished')[1:4] ELSE old END AS publish_date,
-  CAST(CASE WHEN abs(TRY_CAST(j->>'$.numberOfPages' AS INT) - old_pages) < 5 THEN TRY_CAST(j->>'$.numberOfPages' AS INT) ELSE old_pages END AS BIGINT) AS page_count FROM shaped"""
-
-
-def _flat(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("b", meta.book(F.col("meta"))).where("b is not null")
+  CASE WHEN regexp_matches(trim(j->>'$.datePublished'), '^\\d{{4}}[\\d-]*$') THEN trim(j->>'$.datePublished')[1:4] ELSE old END AS publish_date,
+  CAST(CASE WHEN abs(TRY_CAST(j->>'$.numberOfPages' AS INT) - old_pages) < 5 THEN TRY_CAST(j->>'$.numberOfPages' AS INT) ELSE old_pages END AS BIGINT) AS page_count FROM named""")
+def meta_flattened(s, d):
+    """Every readable record, flattened, whatever its shape; a field that it lacks is null."""
+    rows = _cat(s, d).withColumn("b", meta.book(F.col("meta"))).where("b is not null")
     b, pages = F.col("b"), meta.page_count(F.col("b"), F.col("page_count")).cast("bigint")
     return rows.select("md5", meta.publisher(b).alias("publisher"), meta.author(b).alias("author"), meta.title(b).alias("title"), meta.language(b).alias("language"), meta.publish_date(b, F.col("publish_date")).alias("publish_date"), pages.alias("page_count"))
 
 
-@query()
-def meta_records(s, d):
-    """Every readable record, flattened, whatever its shape; a field that it lacks is null."""
-    return _flat(_cat(s, d))
-
-
-@query(_META_SQL)
-def meta_flattened(s, d):
-    """The part of ``meta_records`` that SQL can follow: a publisher object and authors that are objects."""
-    plain = _cat(s, d).where(F.col("meta").startswith('{"@context"') & ~F.col("meta").contains('"@graph"'))
-    raw = plain.withColumn("v", F.try_parse_json("meta")).where("v is not null")
-    kind = lambda p: F.schema_of_variant(F.try_variant_get("v", p, "variant"))
-    shaped = raw.where(kind("$.publisher").startswith("OBJECT") & kind("$.author").startswith("ARRAY"))
-    shaped = shaped.where(~F.exists(F.try_variant_get("v", "$.author", "array<variant>"), lambda a: F.coalesce(F.schema_of_variant(a) == "STRING", F.lit(False))))
-    return _flat(shaped)
+_ISBNS = r"list_transform(flatten(list_transform(isbns, lambda x: regexp_extract_all(regexp_replace(x->>'$', 'ISBN(-1[03])?:?', ' ', 'g'), '(?:97[89](?:[ -]?[0-9]){10}|[0-9](?:[ -]?[0-9]){8}[ -]?[0-9X])'))), lambda y: regexp_replace(y, '[ -]', '', 'g'))"
 
 
-@query()
+@query(f"""{_META}, lists AS (SELECT md5, j, {_LIST.format("json_extract(j, '$.genre')")} AS genres, {_LIST.format("json_extract(j, '$.contributor')")} AS helpers, {_LIST.format("json_extract(j, '$.isbn')")} AS isbns,
+  {_LIST.format("json_extract(j, '$.additionalProperty')")} AS props FROM records WHERE meta IS NOT NULL),
+valued AS (SELECT *, list_transform(list_filter(props, lambda p: json_type(p) = 'OBJECT' AND coalesce(upper(trim(p->>'$.name')) IN ('UDC', 'УДК'), false)),
+  lambda p: CASE json_type(p, '$.value') WHEN 'ARRAY' THEN array_to_string(list_transform(CAST(json_extract(p, '$.value') AS JSON[]), lambda x: x->>'$'), ', ') WHEN 'OBJECT' THEN NULL ELSE p->>'$.value' END) AS v FROM lists),
+udc AS (SELECT *, list_filter(v, lambda x: coalesce(lower(x) NOT IN ('unknown', 'неизвестно'), false)) AS u FROM valued)
+SELECT md5, CASE WHEN genres IS NOT NULL THEN array_to_string(list_filter(list_transform(genres, lambda g: lower(g->>'$')), lambda g: g IS NOT NULL AND g <> 'unknown'), ', ') END AS genre,
+  CASE WHEN helpers IS NOT NULL THEN len(list_filter(helpers, lambda x: json_type(x) = 'OBJECT' AND coalesce(x->>'$.role' = 'translator', false))) > 0 END AS translated,
+  coalesce(array_to_string(list_sort(list_distinct({_ISBNS})), ', '), '') AS isbn,
+  CASE WHEN len(u) = 1 THEN regexp_replace(trim(u[1]), '[ \\n]', '', 'g') END AS udc, j IS NULL AS unreadable FROM udc""")
 def meta_columns(s, d):
     """The remaining columns of a record: genre, translation, ISBNs, classification, and whether it can be read."""
     rows = _cat(s, d).where("meta is not null").withColumn("b", meta.book(F.col("meta")))
     b = F.col("b")
-    return rows.select("md5", meta.genre(b).alias("genre"), meta.translated(b).alias("translated"), meta.isbn(b).alias("isbn"), meta.classification(b, ("UDC", "УДК")).alias("udc"), F.to_json(b).alias("meta"), b.isNull().alias("unreadable"))
+    return rows.select("md5", meta.genre(b).alias("genre"), meta.translated(b).alias("translated"), meta.isbn(b).alias("isbn"), meta.classification(b, ("UDC", "УДК")).alias("udc"), b.isNull().alias("unreadable"))
+
+
+@query()
+def meta_serialised(s, d):
+    """Readable records as JSON text in one shape, without what the shape has no place for."""
+    return _cat(s, d).select("md5", F.to_json(meta.book(F.col("meta"))).alias("meta")).where("meta is not null")
 
 
 @query("SELECT md5, lib->>'$.tags' AS tags FROM doc_catalog WHERE lib IS NOT NULL AND json_valid(lib)")
@@ -523,10 +549,12 @@ def dataset_anti(s, d):
     return dataset.unmatched(table(s, d, "documents"), _cat(s, d))
 
 
-@query()
+@query("""WITH sized AS (SELECT doc_id, octet_length(encode(text)) AS bytes FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(0 AS BIGINT) AS bucket, CAST(greatest(floor((row_number() OVER w - 1) / 20000), floor((sum(bytes) OVER w - bytes) / 805306368)) AS BIGINT) AS shard
+FROM sized WINDOW w AS (ORDER BY doc_id ROWS UNBOUNDED PRECEDING)""")
 def shard_plan(s, d):
     rows = table(s, d, "documents").where("text is not null").select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
-    return dataset.shard_plan(rows, "doc_id", "bytes")
+    return dataset.shard_plan(rows, "doc_id", "bytes").withColumn("bucket", F.col("bucket").cast("bigint"))
 
 
 @query("""SELECT event_id, strftime(ts - INTERVAL 9 HOUR, '%Y%m%d') || CASE WHEN hour(ts) < 9 THEN '_1' ELSE '_0' END AS bucket FROM events""")

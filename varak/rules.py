@@ -1,4 +1,4 @@
-"""Rules as data. Every list is a default that callers can replace."""
+"""Rules as data: defaults of the operators' parameters."""
 
 from __future__ import annotations
 
@@ -32,8 +32,13 @@ EXTENSIONS = {
     "application/epub+zip": ".epub",
 }
 
-#: ``(fragment of the path, suffixes)``: files to leave out.
-PATH_SKIPS = (("/corpus/архив/", (".txt",)), ("/corpus/scan/", (".htm", ".epub")), ("/corpus/gazeta/", (".layout", ".frw", ".txt", ".csv", ".xml", ".jpg", ".ini", ".zip", ".tmp", ".json")))
+#: Suffixes that layout programs and archives leave beside texts (fixed values).
+LEFTOVERS = (
+    ".layout", ".frw", ".txt", ".pac", ".csv", ".xml", ".jpg", ".hdr", ".dat", ".frdat", ".vtt", ".ini", ".aux", ".musx",
+    ".mxl", ".zip", ".indd", ".swp", ".tmp", ".DS_Store", ".parquet", ".emf", ".json",
+)
+#: ``(part of the path, whether the path must begin with it, suffixes)``: files to leave out.
+PATH_SKIPS = (("/corpus/архив/", True, (".txt",)), ("/corpus/scan/", False, (".htm", ".epub")), ("/corpus/gazeta/", False, LEFTOVERS))
 LIMITED_MARK = "/limited/"
 HIDDEN_MARK = "/scan/"
 LEGAL_MARKS = (("архив", "закон", ".pdf"),)
@@ -48,3 +53,9 @@ BLOCK_STARTS = (
 #: Keys of supplied metadata that are not kept (fixed values).
 DROPPED_KEYS = ("available_pages", "doc_card_url", "download_code", "doc_url", "access", "lang")
 TOC_MARK = "<!-- mdformat-toc start --no-anchors -->"
+
+#: Sizes of chunks tried one after the other, and the mark of a quota that a smaller chunk may meet (fixed values).
+CHUNK_SIZES = (5, 3, 2, 1)
+INPUT_QUOTA = "GenerateContentInputTokensPerModelPerMinute"
+#: Characters of a text, pages of a layout, and pages at each end of a file, that metadata is drawn from (fixed values).
+META_CHARS, LAYOUT_PAGES, META_PAGES = 30_000, 30, 5

@@ -44,6 +44,12 @@ def contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "content", F.md5("content").alias("md5"))
 
 
+def to_fetch(keys: DataFrame, local: DataFrame) -> DataFrame:
+    """Objects of a store that have no copy in a walked folder yet, by their last name: ``obj_key, name``."""
+    name = lambda c: F.regexp_extract(c, r"([^/]+)$", 1).alias("name")
+    return keys.select("obj_key", name("obj_key")).join(local.select(name("path")), "name", "left_anti").select("obj_key", "name")
+
+
 def upstream_keys(keys: DataFrame) -> DataFrame:
     return keys.select(F.regexp_replace("obj_key", r"\.zip$", "").alias("md5"), F.col("url"))
 
@@ -87,23 +93,47 @@ def zipped(name: Column, text: Column) -> Column:
     return F.pandas_udf(run, "binary")(name, text)
 
 
-def decoded(c: Column) -> Column:
-    """Bytes as text in the first encoding that fits and gives no control characters."""
-
-    def one(data: bytes | None) -> str | None:
-        if data is None:
-            return None
-        for e in ENCODINGS:
-            try:
-                text = data.decode(e)
-            except UnicodeDecodeError:
-                continue
-            if not any(x < " " and x not in "\t\n\r\f" or "\x7f" <= x < "\xa0" for x in text) or e == ENCODINGS[-1]:
-                return text.lstrip("﻿")
+def decode(data: bytes | None) -> str | None:
+    """Bytes as text: UTF-8 where it fits, else the encoding that makes the likeliest text.
+
+    Letters and blanks speak for a reading, above all the common ones of Cyrillic and lower case after lower case; control
+    characters, capitals inside words and two scripts in a word speak against it.
+    """
+    if data is None:
         return None
+    best: tuple[float, str] | None = None
+    for e in ENCODINGS:
+        try:
+            text = data.decode(e)
+        except UnicodeDecodeError:
+            continue
+        if e == "utf-8":
+            return text.removeprefix("\ufeff")
+        score = _likely(text)
+        if best is None or score > best[0]:
+            best = score, text
+    return best and best[1]
+
+
+def _likely(text: str) -> float:
+    score, before = 0.0, " "
+    for c in text:
+        low = c.lower()
+        if c < " " and c not in "\t\n\r\f" or "\x7f" <= c < "\xa0":
+            score -= 3
+        elif c.isalpha():
+            score += 1.5 if low in "оеаинтсрвл" else 1.0 if low in "кмдпуяыьгзбәөүҗңһ" else 0.2
+            score -= 2.0 * (before.isalpha() and before.islower() and c.isupper())
+            score -= 3.0 * (before.isalpha() and ("а" <= before.lower() <= "ӿ") != ("а" <= low <= "ӿ"))
+        elif not c.isascii():
+            score -= 0.5
+        before = c
+    return score
+
 
+def decoded(c: Column) -> Column:
     def run(s: pd.Series) -> pd.Series:
-        return s.map(one)
+        return s.map(decode)
 
     return F.pandas_udf(run, "string")(c)
 

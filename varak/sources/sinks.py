@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varak.operators.dataset import SHARD_ROWS
+from varak.operators.dataset import SHARD_BYTES, SHARD_ROWS, shard_plan
 
 
-def write_shards(df: DataFrame, path: str, max_rows: int = SHARD_ROWS) -> None:
-    """Snappy Parquet with at most ``max_rows`` rows in a file and 256 in a row group."""
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).option("parquet.block.row.count.limit", "256")
+def write_shards(df: DataFrame, path: str, max_rows: int = SHARD_ROWS, key: str | None = None, size: str | None = None, max_bytes: int = SHARD_BYTES) -> None:
+    """Snappy Parquet with at most ``max_rows`` rows in a file and 256 in a row group.
+
+    With ``key`` and ``size``, the columns of a row's id and of its bytes, files are also closed at ``max_bytes``: each
+    shard of the plan is a file of its own.
+    """
+    if key and size:
+        plan = shard_plan(df.select(key, size), key, size, max_rows, max_bytes).distinct()
+        df = df.join(plan, key).repartition("bucket", "shard").sortWithinPartitions("bucket", "shard", key)
+    writer = df.drop("bucket", "shard").write if not key else df.write.partitionBy("bucket", "shard")
+    writer = writer.mode("overwrite").option("maxRecordsPerFile", max_rows).option("parquet.block.row.count.limit", "256")
     writer.option("compression", "snappy").parquet(path)
 
 

@@ -13,9 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse folder where it is unset."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    return given or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_varak_shared"
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine uses its warehouse folder; on a cluster there is no safe place.
+    """
+    if given := spark.conf.get("spark.checkpoint.dir", None):
+        return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_varak_shared"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -14,16 +14,22 @@ def new_entries(spark: SparkSession, path: str, schema: StructType, files_per_ba
     return stream.withColumn("seen_at", F.col("listed_at").cast("timestamp")).where("entry_type = 'file' and md5 is not null")
 
 
+KEY = ("md5", "file_path", "resource_id")
+
+
 def append_unknown(batch: DataFrame, out: str) -> None:
-    """Appends the entries whose hash the table at ``out`` lacks, each hash once; a repeated batch adds nothing."""
-    fresh = batch.dropDuplicates(["md5"])
+    """Appends the entries that the table at ``out`` lacks, each once; a repeated batch adds nothing.
+
+    An entry is known by its hash, path and resource, so that the copies of one file all come in.
+    """
+    fresh = batch.dropDuplicates([*KEY]).alias("f")
     try:
-        known = batch.sparkSession.read.schema(batch.schema).parquet(out).select("md5")
+        known = batch.sparkSession.read.schema(batch.schema).parquet(out).select(*KEY).alias("k")
     except AnalysisException as e:  # the first batch
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
     else:
-        fresh = fresh.join(known, "md5", "left_anti").select(*batch.columns)
+        fresh = fresh.join(known, [F.col(f"f.{c}").eqNullSafe(F.col(f"k.{c}")) for c in KEY], "left_anti").select(*batch.columns)
     fresh.write.mode("append").parquet(out)
 
 
