@@ -17,6 +17,9 @@ CASES = [
     ("Бу хатны Гохубутев Фәрит Салаватович тапшырган. Әлфия килде.", [("person", "Гохубутев Фәрит Салаватович")]),
     ("со слов: Р. Тирушовоев. Снова слова. by Rekarenev Yu.F.. Ансамбль «Алтын Чишмә»", [("person", "Р. Тирушовоев"), ("person", "Rekarenev Yu.F.")]),
     ("СРЕДИ ВОПРОСОВ ПАВЕЛ ДОФАТИПАЕВ", [("person", "ПАВЕЛ ДОФАТИПАЕВ")]),
+    ("Это Пушкин Александр Сергеевич.", [("person", "Пушкин Александр Сергеевич")]), ("писал Достоевский Ф. М. тогда", [("person", "Достоевский Ф. М.")]),
+    ("said John Smith again", [("person", "John Smith")]), ("from +44 20 7946 0958 today", [("phone", "+44 20 7946 0958")]), ("SSN 123-45-6789", [("id_number", "123-45-6789")]),
+    ("Пушкин. Большой Берлин. New York. +12 345", []), ("between 123-45-6789 and", []),
     ("", []), (None, []),
 ]
 

@@ -44,14 +44,16 @@ AT = re.compile(r"@|\[at\]|\(at\)")
 NUMBER = re.compile(r"(?<![\w№+./-])(?:\+?\d|\(\d{3}\))[\d()№./\s-]{6,26}\d(?!\d)")
 PHONE = re.compile(rf"(?:\+7|8)?[ \n-]?(?:\(\d{{3}}\)|\d{{3}})[ \n.-]?{S}\d{{3}}[ \n.-]?\d\d[ \n.-]?\d\d(?![\d-])")
 PASSPORT = re.compile(rf"(?:\d{{4}}{S1}№{S}\d{{6}}|\d\d{S1}\d\d{S1}\d{{6}})(?!\d)")
+ABROAD = re.compile(r"\+(?!7[\d\s(-])\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?![\d-])")
+SOCIAL = re.compile(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])")
 INSURANCE = re.compile(rf"\d{{3}}-\d{{3}}-\d{{3}}{S1}\d\d(?!\d)")
 TAX = re.compile(r"\d{12}(?!\d)")
 CARD = re.compile(r"\d{4}(?:[ -]?\d{4}){3}(?!\d)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
 #: Words before a number that isn't personal, and words before one that is.
 AGAINST = re.compile(r"(?:шифр|инв\.?|заказ|isbn|удк|ббк|гост|тираж|том|кн\.|рәсем|рис\.|версия\w*|https?://\S*|order|№)\s*№?\s*$", re.I)
-FOR_ID = re.compile(r"(?:паспорт\w*|pasport\w*|passport\w*|мәгълүматы|мәғълүматы|mäglümatı|номер\w*|nomer\w*|number|инн|снилс|tax no\.?|свидетельство|under|серия и номер|карточк\w*|card|ул|ul)[\s:—–-]*(?:no\.?|№)?\s*$", re.I)
-FOR_PHONE = re.compile(r"(?:телефон\w*|тел\.|telefon|phone|шалтырат\w*|şaltırat\w*|звонить|номеру|call|китапны|kitapnı)[\s:—–-]*(?:\S+\s){0,2}$", re.I)
+FOR_ID = re.compile(r"(?:паспорт\w*|pasport\w*|passport\w*|мәгълүматы|мәғълүматы|mäglümatı|номер\w*|nomer\w*|number|инн|снилс|ssn|social security(?: number)?|tax no\.?|свидетельство|under|серия и номер|карточк\w*|card|ул|ul)[\s:—–-]*(?:no\.?|№)?\s*$", re.I)
+FOR_PHONE = re.compile(r"(?:телефон\w*|тел\.|telefon|phone|шалтырат\w*|şaltırat\w*|звонить|номеру|call)[\s:—–-]*(?:\S+\s){0,2}$", re.I)
 
 _POST = rf"(?:\d{{6}},{S})?"
 _TOWN = rf"(?:(?:(?:г|с|д|пос|п)\.|город|село|деревня){S}{NAME},{S}|{NAME}{S1}(?:шәһәре|авылы|ҡалаһы|ауылы|şähäre|awılı),{S})?"
@@ -65,8 +67,18 @@ ADDRESS = re.compile(
 )
 ADDRESS_HINT = re.compile(r"ур(?:амы|\.)|ул(?:\.|ица)|ur(?:amı|\.)|St\.|Street|Lane|Road|Avenue|тыкрыгы|переулок|пер\.|пр\.|проспект")
 
-_TAIL = r"(?:[еёоуыи][вн]|[eouyi][vn])[аa]?"
 SURNAME = re.compile(rf"(?<![\w-])[{UP}](?:[{LOW}A-Za-z’'-]+?(?:[еёоу]в|[eou]v)[аa]?|[{UP}]{{2,}}(?:[ЕЁОУ]В|[EOU]V)[АA]?)(?![\w-])")
+#: Other endings of family names, which need a patronymic, two initials or a known given name beside them (fixed values).
+OTHER = r"(?:[иы]н|[сц]к(?:ий|ой)|енко|[аяу]нко|[уюч]ук|ян|дзе|швили|ин|sk[iy]y?|tsky|enko|yan|dze|shvili)"
+FEMALE = r"(?:[иы]на|[сц]кая|ina|skaya)"
+WIDE = re.compile(rf"(?<![\w-])[{UP}][{LOW}]+?(?:{OTHER}|{FEMALE})(?![\w-])")
+#: Given names of English (fixed values); a capitalised word after one is a family name.
+ENGLISH = frozenset("""
+alice andrew anne anthony barbara brian carol charles christopher daniel david deborah donald dorothy edward elizabeth emily
+emma george helen henry jack james jane jennifer jessica john joseph karen kenneth kevin laura linda margaret mark martin mary
+matthew michael nancy oliver patricia paul peter richard robert ronald ruth sandra sarah sharon steven susan thomas william
+""".split())
+PAIR = re.compile(r"(?<![\w.-])(?:(?:Mr|Mrs|Ms|Dr|Prof)\.?[ \u00a0]+)?(?P<given>[A-Z][a-z]+)(?:[ \u00a0]+[A-Z]\.)?[ \u00a0]+(?P<name>(?:Mc|Mac|O['’])?[A-Z][a-z]+(?:-[A-Z][a-z]+)?)(?![\w-])")
 PATRONYMIC = r"(?:ович|евич|ич|овна|евна|ична|ovich|evich|ovna|evna|ОВИЧ|ЕВИЧ|ОВНА|ЕВНА)"
 INITIAL = rf"(?:[{UP}]|Yu|Ya|Sh|Ch|Zh|Kh|Ts)\."
 AFTER = re.compile(rf",?{S1}(?:(?P<ini>{INITIAL}(?:{S}{INITIAL})?)|(?P<bare>[{UP}]{{2}})(?![\w.])|(?P<given>{NAME})(?P<pat>{S1}[{UP}][{UP}{LOW}A-Za-z]+{PATRONYMIC}(?!\w))?(?![\w]))")
@@ -104,13 +116,13 @@ def _numbers(text: str) -> Iterator[tuple[float, str, int, int]]:
             before = text[max(0, at - 28) : at]
             for rule, kind, score, valid in (
                 (PASSPORT, "id_number", 1.0, None), (INSURANCE, "id_number", 1.0, insurance_valid), (CARD, "id_number", 0.4, luhn),
-                (TAX, "id_number", 0.8, tax_valid), (PHONE, "phone", 0.4, None),
+                (TAX, "id_number", 0.8, tax_valid), (SOCIAL, "id_number", 0.6, None), (PHONE, "phone", 0.4, None), (ABROAD, "phone", 0.4, None),
             ):
                 if (x := rule.match(text, at)) is None or x.end() > end:
                     continue
                 s = x.group()
                 if kind == "phone":
-                    score += 0.8 * s.startswith(("+7", "8")) + 0.8 * s.startswith("(")
+                    score += 0.8 * s.startswith(("+", "8")) + 0.8 * s.startswith("(") - 2 * (not 8 <= sum(c.isdigit() for c in s) <= 15)
                     score += 0.5 * bool(FOR_PHONE.search(before))
                 else:
                     score += 0.5 * bool(FOR_ID.search(before)) + 0.8 * bool(valid and valid(re.sub(r"\D", "", s)))
@@ -154,6 +166,20 @@ def _person(text: str, m: re.Match, addresses: list[tuple[int, int]]) -> tuple[f
     return best
 
 
+def _wide(text: str, m: re.Match) -> tuple[float, str, int, int] | None:
+    """A name round a word with a less telling ending: only with a patronymic, two initials or a known given name."""
+    if (a := AFTER.match(text, m.end())) is not None:
+        two = a.group("ini") and a.group("ini").count(".") > 1
+        if two or a.group("pat") or a.group("given") and _given(a.group("given")):
+            return 1.2, "person", m.start(), a.end()
+    head = text[max(0, m.start() - 48) : m.start()]
+    if (b := BEFORE.search(head)) is not None:
+        two = b.group("ini") and b.group("ini").count(".") > 1
+        if two or b.group("pat") or b.group("given") and _given(b.group("given")):
+            return 1.2, "person", m.start() - len(head) + b.start(), m.end()
+    return None
+
+
 def _given(word: str) -> bool:
     """A known given name in any of its notations, or with a dot the beginning of one."""
     bare = word.rstrip(".").lower().translate(_FOLD)
@@ -175,6 +201,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     found += _numbers(text)
     found += [(1.0 + mod97(m.group()), "id_number", *m.span()) for m in IBAN.finditer(text) if mod97(m.group())]
     found += [x for m in SURNAME.finditer(text) if (x := _person(text, m, addresses)) is not None]
+    found += [x for m in WIDE.finditer(text) if (x := _wide(text, m)) is not None]
+    found += [(1.1, "person", m.start("given"), m.end()) for m in PAIR.finditer(text) if m.group("given").lower() in ENGLISH]
     found.sort(key=lambda x: (-x[0], x[2], x[2] - x[3]))
     taken: list[tuple[str, int, int]] = []
     for score, kind, a, b in found:
