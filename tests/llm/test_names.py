@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from varak.llm import names
@@ -47,3 +50,22 @@ def test_short_names_and_heads(spark):
     houses = spark.createDataFrame([(11, "«Илкөмеш» нәшрияты"), (12, "ИК (Илмешнәшр)")], schema)
     catalog = spark.createDataFrame([("Воев Марат", None)] * 300 + [("Боев Марат", None)] * 200, "author string, publisher string")
     assert {tuple(r) for r in names.found(authors, houses, catalog).collect()} == {(1, 2), (11, 12)}
+
+
+def test_candidates_are_those_of_a_full_search(monkeypatch):
+    rng = random.Random(5)
+    givens = [f"{a}{b}{c}n" for a in "abcd" for b in "aeiou" for c in "lmr"]
+    forms = []
+    for _ in range(600):
+        given, second = rng.choice(givens), rng.choice("abc")
+        kind = rng.randrange(5)
+        forms.append({"given": given if kind < 2 else None, "cut": given[:2] if kind == 2 else None, "first": given[0] if kind < 4 else None, "patronymic": None, "second": second if kind % 2 else None, "n": rng.randint(1, 9)})
+    fast = names.resolve([dict(f) for f in forms])
+    monkeypatch.setattr(names._Candidates, "of", lambda self, f: range(len(self.entities)))
+    assert names.resolve([dict(f) for f in forms]) == fast
+
+
+def test_hot_family_name():
+    forms = [{"given": f"gi{k % 400:03}vn", "cut": None, "first": "g", "patronymic": f"{chr(97 + k // 400 % 25) * 3}{k // 400:02}ovic", "second": chr(97 + k // 400 % 25), "n": 1} for k in range(20_000)]
+    began = time.time()
+    assert len(set(names.resolve(forms))) > 1000 and time.time() - began < 60

@@ -175,30 +175,79 @@ def resolve(forms: list[dict]) -> list[int]:
         told = 4 * bool(f["given"] and f["second"]) + 3 * bool(f["first"] and f["second"]) + 2 * bool(f["given"]) + bool(f["first"])
         return -told, -f["n"], f["given"] or "", f["patronymic"] or "", f["second"] or "", f["cut"] or "", f["first"] or ""
 
-    entities: list[dict] = []
+    index = _Candidates()
     out = [0] * len(forms)
     for k in sorted(range(len(forms)), key=rank):
         f = forms[k]
         best: tuple[float, int] | None = None
-        for e, c in enumerate(entities):
+        for e in index.of(f):
+            c = index.entities[e]
             g, p = given_score(f, c["given"], c["first"]), patronymic_score(f, c["patronymic"], c["second"])
             if g is None or p is None:
                 continue
             score = math.log(c["n"] + 1) + g + p
-            if best is None or score > best[0] + 1e-9:
+            if best is None or score > best[0] + 1e-9 or score > best[0] - 1e-9 and e < best[1]:
                 best = score, e
-        if best is None:
-            entities.append(dict(f))
-            out[k] = len(entities) - 1
-        else:
-            c = entities[best[1]]
-            out[k] = best[1]
-            c["n"] += f["n"]
-            for x in ("given", "patronymic", "first", "second"):
-                c[x] = c[x] or f[x]
+        out[k] = index.take(f, None if best is None else best[1])
     return out
 
 
+class _Candidates:
+    """Entities of one family name by given name, so that a form meets only those that its given part can stand for.
+
+    A hot family name has many entities; without the index every form would be compared with each of them.
+    """
+
+    def __init__(self) -> None:
+        self.entities: list[dict] = []
+        self.by_given: dict[str, list[int]] = {}
+        self.without: dict[str | None, list[int]] = {}  # entities without a given name, by initial
+        self.givens: list[str] = []
+        self.fits: dict[tuple, tuple[int, list[str]]] = {}  # how many given names were judged, and those that fit
+
+    def of(self, f: dict) -> Iterator[int]:
+        if f["first"] is None:
+            yield from range(len(self.entities))
+            return
+        key = f["given"], f["cut"], f["first"]
+        seen, fit = self.fits.get(key, (0, []))
+        for g in self.givens[seen:]:
+            if given_score(f, g, None) is not None:
+                fit.append(g)
+        self.fits[key] = len(self.givens), fit
+        for g in fit:
+            yield from self.by_given[g]
+        for first in {None, f["first"]}:
+            yield from self.without.get(first, ())
+
+    def take(self, f: dict, e: int | None) -> int:
+        """Puts a form to entity ``e``, or makes it one; what the entity lacks it gets from the form."""
+        if e is None:
+            e = len(self.entities)
+            self.entities.append(dict(f))
+            self._place(e)
+            return e
+        c = self.entities[e]
+        c["n"] += f["n"]
+        before = c["given"], c["first"]
+        for x in ("given", "patronymic", "first", "second"):
+            c[x] = c[x] or f[x]
+        if before[0] is None and (c["given"], c["first"]) != before:
+            self.without[before[1]].remove(e)
+            self._place(e)
+        return e
+
+    def _place(self, e: int) -> None:
+        c = self.entities[e]
+        if c["given"] is None:
+            self.without.setdefault(c["first"], []).append(e)
+            return
+        if c["given"] not in self.by_given:
+            self.by_given[c["given"]] = []
+            self.givens.append(c["given"])
+        self.by_given[c["given"]].append(e)
+
+
 _PARSED = "kind string, name_id bigint, name_form string, family string, given string, cut string, first string, patronymic string, second string"
 
 
