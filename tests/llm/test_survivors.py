@@ -67,3 +67,20 @@ def test_the_case_comes_from_the_consensus(spark, monkeypatch):
 def test_long_values(spark, title):
     df = spark.createDataFrame([record("a", title=title), record("b", title=title + "y"), record("c", title=title)], FIELDS)
     assert survivors.survivors(df).first().title == title.strip()
+
+
+def test_long_values_are_voted_on_by_tokens(spark):
+    words = [f"сүз{k}" for k in range(1500)]
+    wrong = lambda *at: " ".join("0" if k in at else w for k, w in enumerate(words))
+    df = spark.createDataFrame([record("a", title=wrong(0, 7, 900)), record("b", title=wrong(1400)), record("c", title=wrong(3, 800))], FIELDS)
+    got = survivors.survivors(df).first()
+    assert (got.md5, got.title) == ("b", wrong(1400))
+
+
+def test_alignment_is_the_same_in_parts(monkeypatch):
+    values = [" ".join("абвг"[(k * k * s + k) % 4] for k in range(40 + s)) for s in (1, 3, 5)]
+    parts = [survivors.profile_of(v, 1.0 + i) for i, v in enumerate(values)]
+    want = survivors.merged(parts)
+    monkeypatch.setattr(survivors, "CELLS", 1)
+    monkeypatch.setattr(survivors, "MANY", 0)
+    assert survivors.merged(parts) == want and len(want) < sum(len(p) for p in parts)

@@ -28,15 +28,15 @@ TEXTS = ("title", "author", "publisher", "publish_date", "language", "genre")
 FIELDS = (*TEXTS, "is_full", "mime_type", "content_url")
 PDF = ("application/pdf", "application/x-pdf")
 BLOCK = 32
-LONG = 1000  # values of more tokens are voted on as a whole
+CELLS = 1 << 20  # scores of an alignment that are kept at a time; more are computed again
+MANY = 64  # places of a token from which they are scored as an array
 GAP = ""
 #: For each column the weight of its tokens; between Python and Spark it travels as JSON.
 Profile = list[dict[str, float]]
 
 
 def tokens(value: str) -> list[str]:
-    parts = value.split()
-    return parts if len(parts) <= LONG else [value]
+    return value.split()
 
 
 def profile_of(value: str, weight: float) -> Profile:
@@ -51,35 +51,88 @@ def align(a: Profile, b: Profile) -> Profile:
     """
     wa = max((sum(c.values()) for c in a), default=0.0)
     wb = max((sum(c.values()) for c in b), default=0.0)
+    same = _same(a, b)
+    pairs = [*zip(range(same), range(same)), *((same + i if i >= 0 else -1, same + j if j >= 0 else -1) for i, j in _path(a[same:], b[same:], max(wa * wb, 1e-9)))]
+    out: Profile = []
+    for i, j in pairs:
+        left, right = a[i] if i >= 0 else {GAP: wa}, b[j] if j >= 0 else {GAP: wb}
+        out.append({t: left.get(t, 0.0) + right.get(t, 0.0) for t in {*left, *right}})
+    return out
+
+
+def _same(a: Profile, b: Profile) -> int:
+    """Columns at the start that meet in a best alignment, as neither of two agrees more with any other column."""
+    tops: list[dict[str, float]] = [{}, {}]
+    for top, p in zip(tops, (a, b)):
+        for c in p:
+            for t, w in c.items():
+                top[t] = max(top.get(t, 0.0), w) if t != GAP else 0.0
+    agree = lambda x, y: sum(w * y.get(t, 0.0) for t, w in x.items() if t != GAP)
+    for k, (x, y) in enumerate(zip(a, b)):
+        if agree(x, y) < max(agree(x, tops[1]), agree(y, tops[0])):
+            return k
+    return min(len(a), len(b))
+
+
+def _path(a: Profile, b: Profile, whole: float) -> list[tuple[int, int]]:
+    """The columns that meet in the best alignment, -1 for none.
+
+    Rows of scores beyond ``CELLS`` are computed again when the path gets there, halves of halves, so memory stays in
+    proportion to the columns.
+    """
     n, m = len(a), len(b)
+    if not n or not m:
+        return [*((i, -1) for i in range(n)), *((-1, j) for j in range(m))]
     where: dict[str, list[tuple[int, float]]] = defaultdict(list)
     for j, c in enumerate(b):
         for t, w in c.items():
             if t != GAP:
                 where[t].append((j, w))
-    like = np.zeros((n, m))
-    for i, c in enumerate(a):
-        for t, w in c.items():
-            for j, v in where.get(t, ()):
-                like[i, j] += w * v / max(wa * wb, 1e-9)
-    score = np.zeros((n + 1, m + 1))
-    for i in range(n - 1, -1, -1):
-        row = np.maximum(score[i + 1, :-1], score[i + 1, 1:] + like[i])
-        score[i, :-1] = np.maximum.accumulate(row[::-1])[::-1]
-    out: Profile = []
-    i = j = 0
-    while i < n or j < m:
-        if i < n and j < m and score[i, j] == score[i + 1, j + 1] + like[i, j]:
-            left, right = a[i], b[j]
-            i, j = i + 1, j + 1
-        elif j == m or i < n and score[i, j] == score[i + 1, j]:
-            left, right = a[i], {GAP: wb}
-            i += 1
-        else:
-            left, right = {GAP: wa}, b[j]
-            j += 1
-        out.append({t: left.get(t, 0.0) + right.get(t, 0.0) for t in {*left, *right}})
-    return out
+    many = {t: (np.array([j for j, _ in x]), np.array([w for _, w in x])) for t, x in where.items() if len(x) > MANY}
+
+    def like(i: int, first: int) -> np.ndarray:
+        row = np.zeros(m)
+        for t, w in a[i].items():
+            if t in many:
+                row[many[t][0]] += w * many[t][1] / whole
+            else:
+                for j, v in where.get(t, ()):
+                    row[j] += w * v / whole
+        return row[first:]
+
+    def above(below: np.ndarray, likes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(below))
+        out[:-1] = np.maximum.accumulate(np.maximum(below[:-1], below[1:] + likes)[::-1])[::-1]
+        return out
+
+    out: list[tuple[int, int]] = []
+    j, parts = 0, [(0, n, np.zeros(m + 1))]  # rows still to walk through, the scores below them
+    while parts:
+        lo, hi, below = parts.pop()
+        first, below = j, below[len(below) - (m + 1 - j) :]
+        if hi - lo > 1 and (hi - lo) * len(below) > CELLS:
+            mid, row = (lo + hi) // 2, below
+            for i in range(hi - 1, mid - 1, -1):
+                row = above(row, like(i, first))
+            parts += [(mid, hi, below), (lo, mid, row)]
+            continue
+        likes, score = [like(i, first) for i in range(lo, hi)], [below]
+        for x in reversed(likes):
+            score.append(above(score[-1], x))
+        score.reverse()
+        i = lo
+        while i < hi:
+            now, then, k = score[i - lo], score[i - lo + 1], j - first
+            if j < m and now[k] == then[k + 1] + likes[i - lo][k]:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+            elif j == m or now[k] == then[k]:
+                out.append((i, -1))
+                i += 1
+            else:
+                out.append((-1, j))
+                j += 1
+    return [*out, *((-1, k) for k in range(j, m))]
 
 
 def consensus(profile: Profile) -> list[str]:
@@ -92,12 +145,14 @@ def distance(values: list[str], target: list[str]) -> int:
     """Tokens to insert or delete to get from one list to the other."""
     if values == target:
         return 0
-    row = [0] * (len(target) + 1)
+    places: dict[str, int] = defaultdict(int)
+    for j, u in enumerate(target):
+        places[u] |= 1 << j
+    every = free = (1 << len(target)) - 1  # a bit for each token of the target, off where the common part grows
     for t in values:
-        above, row[0] = row[:], 0
-        for j, u in enumerate(target, 1):
-            row[j] = above[j - 1] + 1 if t == u else max(above[j], row[j - 1])
-    return len(values) + len(target) - 2 * row[-1]
+        met = free & places.get(t, 0)
+        free = (free + met | free - met) & every
+    return len(values) + len(target) - 2 * (len(target) - free.bit_count())
 
 
 def merged(parts: list[Profile]) -> Profile:
